@@ -15,14 +15,15 @@ from paywatch.operators.daily import dense_domain, fill_days
 TIERS = ["HIGH", "MEDIUM", "LOW"]
 MONEY_SUM = "decimal(25,2)"
 
-FLAGGED = F.col("fraud_flag") == 1
-NOT_FLAGGED = F.col("fraud_flag") == 0
+
+def has_flag(value: int) -> Column:
+    return F.col("fraud_flag") == value
 
 
 def flagged_amount(when_none: int | None) -> Column:
     """Sum of the flagged amounts; 0 or null where nothing is flagged."""
     zero = F.lit(when_none).cast("decimal(15,2)")
-    return F.sum(F.when(FLAGGED, F.col("amount")).otherwise(zero)).cast(MONEY_SUM)
+    return F.sum(F.when(has_flag(1), F.col("amount")).otherwise(zero)).cast(MONEY_SUM)
 
 
 def mean_amount(condition: Column | None = None) -> Column:
@@ -42,8 +43,8 @@ def overall_kpis(scored: DataFrame) -> DataFrame:
         F.sum("fraud_flag").alias("flagged_transactions"),
         flagged_pct(2).alias("fraud_rate_pct"),
         flagged_amount(0).alias("flagged_amount"),
-        mean_amount(FLAGGED).alias("avg_fraud_ticket_size"),
-        mean_amount(NOT_FLAGGED).alias("avg_legit_ticket_size"),
+        mean_amount(has_flag(1)).alias("avg_fraud_ticket_size"),
+        mean_amount(has_flag(0)).alias("avg_legit_ticket_size"),
     )
 
 
@@ -199,7 +200,7 @@ def kpi_snapshot(scored: DataFrame) -> DataFrame:
         F.count("*").alias("total"),
         F.sum("fraud_flag").alias("flagged"),
         flagged_pct(2).alias("fraud_rate"),
-        mean_amount(FLAGGED).alias("avg_ticket"),
+        mean_amount(has_flag(1)).alias("avg_ticket"),
         F.count(F.when(F.col("risk_tier") == "HIGH", 1)).alias("high_risk"),
     )
 
