@@ -49,7 +49,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The test tables have no sender above the default bounds. With this rule every
 # sender of more than 20 rows takes the split forms.
-SPLIT_MOST = HeavyRule(share=1e-9, floor=20)
+SPLIT_MOST = HeavyRule(floor=20)
 QUEUE_DAY = date(2024, 1, 1)
 FEW_ROUNDS = 8
 

@@ -24,13 +24,13 @@ def _statistics(value: str) -> dict[str, Column]:
 
 def _zscore(value: str) -> Column:
     mean = F.try_divide(F.col("_total").cast("double"), F.col("_number"))
-    # Equal values give a deviation of 0, or next to 0 after rounding: use 1.
-    usable = F.when(F.col("_low") < F.col("_high"), F.col("_deviation"))
-    spread = F.coalesce(F.nullif(usable, F.lit(0.0)), F.lit(1.0))
+    spread = F.coalesce(F.nullif(F.col("_deviation"), F.lit(0.0)), F.lit(1.0))
     score = (F.col(value).cast("double") - mean) / spread
-    # greatest and least skip nulls; a row without a value has no score.
     cut = F.least(F.greatest(score, F.lit(-ZSCORE_LIMIT)), F.lit(ZSCORE_LIMIT))
-    return F.when(score.isNotNull(), cut)
+    # Equal values are at their mean, whatever rounding makes of it; greatest and
+    # least skip nulls, but a row without a value has no score.
+    differ = F.col("_low") < F.col("_high")
+    return F.when(score.isNotNull(), F.when(differ, cut).otherwise(F.lit(0.0)))
 
 
 def zscore_windowed(df: DataFrame, key: str, value: str, out: str) -> DataFrame:

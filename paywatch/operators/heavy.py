@@ -17,26 +17,27 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class HeavyRule:
-    """A key is heavy above `floor` rows and above `share` of all rows.
+    """The `most` largest keys of more than `floor` rows are heavy.
 
-    At most 1/share keys can pass, whatever the table holds: that is the bound
-    that makes the list of heavy keys safe to broadcast.
+    `most` bounds the list whatever the table holds, so it is safe to broadcast.
+    A key outside the list has at most max(floor, rows / most) rows: with the
+    defaults, and a table of 10^12 rows, ten million in one window group.
     """
 
-    share: float = 1e-5
     floor: int = 1_000_000
-
-    @property
-    def most_keys(self) -> int:
-        return int(1 / self.share)
+    most: int = 100_000
 
 
 def heavy_keys(df: DataFrame, key: str, rule: HeavyRule = HeavyRule()) -> DataFrame:
-    """One row per heavy key, in column `_heavy`; never more than `rule.most_keys`."""
-    counts = df.groupBy(F.col(key).alias("_heavy")).agg(F.count("*").alias("_rows"))
-    all_rows = counts.agg(F.sum("_rows").cast("double")).scalar()
-    limit = F.greatest(F.lit(float(rule.floor)), all_rows * F.lit(rule.share))
-    return counts.where(F.col("_rows") > limit).select("_heavy")
+    """One row per heavy key, in column `_heavy`; never more than `rule.most`."""
+    return (
+        df.groupBy(F.col(key).alias("_heavy"))
+        .agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") > rule.floor)
+        .orderBy(F.desc("_rows"), F.asc("_heavy"))
+        .limit(rule.most)
+        .select("_heavy")
+    )
 
 
 def is_key(key: str) -> Column:

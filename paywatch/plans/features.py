@@ -151,16 +151,8 @@ def build_features(
         rows = rows.withColumn("_at", micros(F.col(TIME)))
         ordinary, heavy = split_heavy(rows, SENDER, heavy_keys(df, SENDER, rule))
         heavy_rows = heavy
-        if pair:
-            ordinary = first_seen_windowed(
-                ordinary, SENDER, RECEIVER, "_at", ROW_ID, "is_new_receiver"
-            )
-            lookup = first_seen_lookup(heavy_rows, SENDER, RECEIVER, "_at", ROW_ID)
-            heavy = attach_first_seen(heavy, lookup, ROW_ID, "is_new_receiver")
-        for name, column in usual.items():
-            ordinary = usual_windowed(ordinary, SENDER, column, "_at", name)
-            lookup = usual_lookup(heavy_rows, SENDER, column, "_at")
-            heavy = attach_usual(heavy, lookup, SENDER, column, "_at", name)
+        # Windows on the sender alone come first: their shuffle then also serves
+        # the windows on the sender and a second column.
         if specs:
             ordinary = trailing_windowed(ordinary, SENDER, "_at", AMOUNT, specs)
             lookup = trailing_lookup(heavy_rows, SENDER, "_at", AMOUNT, specs)
@@ -170,6 +162,16 @@ def build_features(
             # One row per heavy sender: the bound of the rule makes this small.
             lookup = F.broadcast(zscore_lookup(heavy_rows, SENDER, AMOUNT))
             heavy = attach_zscore(heavy, lookup, SENDER, AMOUNT, "amount_zscore")
+        for name, column in usual.items():
+            ordinary = usual_windowed(ordinary, SENDER, column, "_at", name)
+            lookup = usual_lookup(heavy_rows, SENDER, column, "_at")
+            heavy = attach_usual(heavy, lookup, SENDER, column, "_at", name)
+        if pair:
+            ordinary = first_seen_windowed(
+                ordinary, SENDER, RECEIVER, "_at", ROW_ID, "is_new_receiver"
+            )
+            lookup = first_seen_lookup(heavy_rows, SENDER, RECEIVER, "_at", ROW_ID)
+            heavy = attach_first_seen(heavy, lookup, ROW_ID, "is_new_receiver")
         rows = ordinary.unionByName(heavy)
         if HISTORY_30D in specs:
             rows = _with_average(rows)

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Otherwise every column expression looks up its place in the source, which
+    # takes longer than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

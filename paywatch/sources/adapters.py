@@ -2,81 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
 
 from paywatch.schema import RAW
 
+EVENT_COLUMNS = {
+    "txn_id": "'TXN' || lpad(cast(event_id AS string), 8, '0')",
+    "timestamp": "ts",
+    "sender_vpa": "if(fraud AND event_id % 5 < 3, 'new' || event_id || '@ybl', 'user' || user_id || '@upi')",
+    "receiver_vpa": "'user' || k || '@paytm'",
+    "amount": "if(fraud AND event_id % 10 < 3, cast(50000 + k * 1500 AS decimal(15,2)), "
+    "cast(cast(value AS decimal(15,2)) * 50 AS decimal(15,2)))",
+    "bank": "'BANK_' || k % 10",
+    "device_id": "if(device_off, 'DEV-X' || event_id, 'DEV-' || user_id)",
+    "app_name": "'APP_' || user_id % 6",
+    "merchant_name": "if(k % 15 = 0, 'P2P', 'M_' || k % 15)",
+    "sender_state": "'STATE_' || if(state_off, (user_id + 1) % 10, user_id % 10)",
+    "txn_status": "if(event_type = 'error', 'FAILED', 'SUCCESS')",
+    "failure_reason": "if(event_type = 'error', 'REASON_' || k % 5, NULL)",
+    "device_mismatch": "device_off",
+    "geo_anomaly": "state_off",
+    "is_fraud": "fraud",
+}
 
-def _text(value: Column) -> Column:
-    return value.cast("string")
+ORDER_COLUMNS = {
+    "txn_id": "'TXN' || lpad(cast(o_orderkey AS string), 8, '0')",
+    "timestamp": "o_orderdate",
+    "sender_vpa": "'user' || o_custkey || '@upi'",
+    "receiver_vpa": "'shop' || o_orderkey % 7",
+    "amount": "o_totalprice",
+    "bank": "'BANK_' || o_custkey % 10",
+    "device_id": "'DEV-' || o_orderkey % 3",
+    "app_name": "'APP_' || o_custkey % 6",
+    "merchant_name": "'P2P'",
+    "sender_state": "'STATE_' || o_orderkey % 4",
+    "txn_status": "if(o_orderstatus = 'F', 'FAILED', 'SUCCESS')",
+    "failure_reason": "NULL",
+    "device_mismatch": "0",
+    "geo_anomaly": "0",
+    "is_fraud": "0",
+}
 
 
-def _shaped(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in RAW])
+def _shaped(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    return df.selectExpr(
+        *[f"cast({columns[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in RAW]
+    )
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """The event stream as payments: 35 in 1000 are fraud, by event number."""
-    number, user = F.col("event_id"), F.col("user_id")
-    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-    fraud = (number * 7919) % 1000 < 35
-    device_off = fraud & (number % 20 < 11)
-    state_off = fraud & (number % 5 < 2)
-    failed = F.col("event_type") == "error"
-    return _shaped(
-        events,
-        {
-            "txn_id": F.concat(F.lit("TXN"), F.lpad(_text(number), 8, "0")),
-            "timestamp": F.col("ts"),
-            "sender_vpa": F.when(
-                fraud & (number % 5 < 3), F.concat(F.lit("new"), _text(number), F.lit("@ybl"))
-            ).otherwise(F.concat(F.lit("user"), _text(user), F.lit("@upi"))),
-            "receiver_vpa": F.concat(F.lit("user"), _text(k), F.lit("@paytm")),
-            "amount": F.when(
-                fraud & (number % 10 < 3), (50000 + k * 1500).cast("decimal(15,2)")
-            ).otherwise((F.col("value").cast("decimal(15,2)") * 50).cast("decimal(15,2)")),
-            "bank": F.concat(F.lit("BANK_"), _text(k % 10)),
-            "device_id": F.when(device_off, F.concat(F.lit("DEV-X"), _text(number))).otherwise(
-                F.concat(F.lit("DEV-"), _text(user))
-            ),
-            "app_name": F.concat(F.lit("APP_"), _text(user % 6)),
-            "merchant_name": F.when(k % 15 == 0, F.lit("P2P")).otherwise(
-                F.concat(F.lit("M_"), _text(k % 15))
-            ),
-            "sender_state": F.concat(
-                F.lit("STATE_"),
-                _text(F.when(state_off, (user + 1) % 10).otherwise(user % 10)),
-            ),
-            "txn_status": F.when(failed, "FAILED").otherwise("SUCCESS"),
-            "failure_reason": F.when(failed, F.concat(F.lit("REASON_"), _text(k % 5))),
-            "device_mismatch": device_off,
-            "geo_anomaly": state_off,
-            "is_fraud": fraud,
-        },
+    marked = events.selectExpr(
+        "*",
+        "cast(regexp_extract(props, '[0-9]+', 0) AS int) AS k",
+        "(event_id * 7919) % 1000 < 35 AS fraud",
+    ).selectExpr(
+        "*",
+        "fraud AND event_id % 20 < 11 AS device_off",
+        "fraud AND event_id % 5 < 2 AS state_off",
     )
+    return _shaped(marked, EVENT_COLUMNS)
 
 
 def transactions_from_orders(orders: DataFrame) -> DataFrame:
     """Orders as payments: times are midnights only, so many share an instant."""
-    number, customer = F.col("o_orderkey"), F.col("o_custkey")
-    return _shaped(
-        orders,
-        {
-            "txn_id": F.concat(F.lit("TXN"), F.lpad(_text(number), 8, "0")),
-            "timestamp": F.col("o_orderdate"),
-            "sender_vpa": F.concat(F.lit("user"), _text(customer), F.lit("@upi")),
-            "receiver_vpa": F.concat(F.lit("shop"), _text(number % 7)),
-            "amount": F.col("o_totalprice"),
-            "bank": F.concat(F.lit("BANK_"), _text(customer % 10)),
-            "device_id": F.concat(F.lit("DEV-"), _text(number % 3)),
-            "app_name": F.concat(F.lit("APP_"), _text(customer % 6)),
-            "merchant_name": F.lit("P2P"),
-            "sender_state": F.concat(F.lit("STATE_"), _text(number % 4)),
-            "txn_status": F.when(F.col("o_orderstatus") == "F", "FAILED").otherwise("SUCCESS"),
-            "failure_reason": F.lit(None),
-            "device_mismatch": F.lit(0),
-            "geo_anomaly": F.lit(0),
-            "is_fraud": F.lit(0),
-        },
-    )
+    return _shaped(orders, ORDER_COLUMNS)
