@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,8 +90,12 @@ def correlation_matrix(
         inputCols=list(columns), outputCol="_features", handleInvalid="skip"
     ).transform(features)
     matrix = Correlation.corr(vectors.select("_features"), "_features").head()[0].toArray()
+    if np.isnan(matrix).any():
+        # A constant column: its correlation with itself is undefined too.
+        spread = vectors.select(Summarizer.variance(F.col("_features"))).head()[0].toArray()
+        matrix[spread == 0, :] = np.nan
     cells = [
-        (a, b, None if matrix[i, j] != matrix[i, j] else float(matrix[i, j]))
+        (a, b, None if np.isnan(matrix[i, j]) else float(matrix[i, j]))
         for i, a in enumerate(columns)
         for j, b in enumerate(columns)
     ]

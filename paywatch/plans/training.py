@@ -82,9 +82,15 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="_features", handleInvalid="keep")
 
 
+def _complete(rows: DataFrame) -> DataFrame:
+    """Rows to learn from: label and all features known. Scoring takes every row."""
+    return rows.dropna(subset=[LABEL, *FEATURE_COLUMNS])
+
+
 def train_logistic(train: DataFrame, max_iter: int = 1000) -> PipelineModel:
     """Standardized logistic regression with balanced classes and unit L2 strength."""
     require_columns(train)
+    train = _complete(train)
     counts = class_weights(train).head()
     balanced = F.when(F.col(LABEL) == 1, counts.total / (2 * counts.fraud)).otherwise(
         counts.total / (2 * counts.legit)
@@ -148,6 +154,7 @@ def train_trees(
     the same first trees.
     """
     require_columns(train)
+    train, validation = _complete(train), _complete(validation)
     if pos_weight is None:
         pos_weight = class_weights(train).head().scale_pos_weight
     weight = F.when(F.col(LABEL) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0))

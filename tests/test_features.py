@@ -199,9 +199,13 @@ def test_bucket_length_does_not_matter(payments, bucket):
 
 def test_result_does_not_depend_on_partitioning(payments):
     df = payments(*history(payments, 9, rows=120))
-    one = build_features(df.repartition(1)).orderBy("txn_id").collect()
-    many = build_features(df.repartition(7, "amount")).orderBy("txn_id").collect()
-    assert one == many
+
+    def built(rows):
+        # Standard deviations may differ in the last bit.
+        digits = F.round("amount_zscore", 9)
+        return build_features(rows).withColumn("amount_zscore", digits).orderBy("txn_id").collect()
+
+    assert built(df.repartition(1)) == built(df.repartition(7, "amount"))
 
 
 def test_only_the_features_asked_for(payments):
