@@ -24,7 +24,7 @@ def dense_domain(df: DataFrame, column: str, members: Sequence[str]) -> DataFram
 
     `_position` holds the order.
     """
-    listed = df.sparkSession.createDataFrame(
-        [(member, i) for i, member in enumerate(members)], f"{column} string, _position int"
+    listed = df.sparkSession.range(1).select(
+        F.posexplode(F.array(*[F.lit(member) for member in members])).alias("_position", column)
     )
     return listed.join(df, column, "left")

@@ -21,10 +21,11 @@ class HeavyRule:
 
     `most` bounds the list whatever the table holds, so it is safe to broadcast.
     A key outside the list has at most max(floor, rows / most) rows: with the
-    defaults, and a table of 10^12 rows, ten million in one window group.
+    defaults ten million, up to a table of 10^12 rows. One window group of that
+    size sorts within a task.
     """
 
-    floor: int = 1_000_000
+    floor: int = 10_000_000
     most: int = 100_000
 
 

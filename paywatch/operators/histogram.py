@@ -21,7 +21,8 @@ def histogram(
     that selects it, and the conditions exclude each other.
 
     The ranges are one combined row, handed to the second pass as a subquery, so
-    no row is shuffled: only bin counts are.
+    no row is shuffled: only bin counts are. `df` is read twice: pass a stored
+    table, not one that is expensive to derive.
     """
     classes = classes or {"all": F.lit(True)}
     names = list(classes)

@@ -25,9 +25,15 @@ SCORE = "fraud_probability"
 SWEEP_GRID = tuple(0.1 + i * 0.8 / 79 for i in range(80))
 DEFAULT_THRESHOLD = 0.5
 
+# Size of a bucket of distinct scores, and the most cuts handed to the executors.
+SCORES_PER_BUCKET = 1_000_000
+MOST_BUCKETS = 16_384
+
 
 def _bucketed(df: DataFrame, score: str, edges: Sequence[float], out: str) -> DataFrame:
     """Number of edges at or below the score."""
+    if not edges:
+        return df.withColumn(out, F.lit(0))
     splits = [float("-inf"), *edges, float("inf")]
     marked = Bucketizer(splits=splits, inputCol=score, outputCol=out).transform(df)
     return marked.withColumn(out, F.col(out).cast("int"))
@@ -43,13 +49,15 @@ def score_counts(df: DataFrame, score: str = SCORE, label: str = LABEL) -> DataF
 
 
 def curve(
-    df: DataFrame, score: str = SCORE, label: str = LABEL, buckets: int = 1024
+    df: DataFrame, score: str = SCORE, label: str = LABEL, buckets: int | None = None
 ) -> DataFrame:
     """(score, pos, neg, tp, fp) per distinct score: tp and fp count the rows with
-    this score or a higher one."""
+    this score or a higher one. `buckets` follows from the number of scores."""
     counts = materialize(score_counts(df, score, label), "score-counts")
+    if buckets is None:
+        buckets = min(MOST_BUCKETS, 1 + counts.count() // SCORES_PER_BUCKET)
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = counts.approxQuantile("score", shares, 1 / (4 * buckets))
+    cuts = counts.approxQuantile("score", shares, 1 / (4 * buckets)) if shares else []
     marked = _bucketed(counts, "score", sorted(set(cuts)), "_band")
     events = marked.select(
         "score",
@@ -174,9 +182,10 @@ def threshold_sweep(
             F.sum((F.col(label) == 0).cast("bigint")).alias("neg"),
         )
     )
-    steps = df.sparkSession.createDataFrame(
-        [(0, None)] + [(i, float(edge)) for i, edge in enumerate(grid, start=1)],
-        "_reached int, threshold double",
+    # Position 0 is for the rows below every threshold.
+    edges = ", ".join(["NULL"] + [f"{float(edge)!r}D" for edge in grid])
+    steps = df.sparkSession.range(1).selectExpr(
+        f"posexplode(array({edges})) AS (_reached, threshold)"
     )
     # One row per threshold by now: single window groups are as small as the grid.
     above = Window.orderBy(F.desc("_reached"))
@@ -249,7 +258,7 @@ def comparison(
     for model, scored in predictions.items():
         parts.append(as_report(model, ranking_measures(scored)))
         parts.append(as_report(model, confusion(scored, thresholds[model])))
-        chosen = scored.sparkSession.createDataFrame([(thresholds[model],)], "threshold double")
+        chosen = scored.sparkSession.range(1).select(F.lit(thresholds[model]).alias("threshold"))
         parts.append(as_report(model, chosen))
     if importances is not None:
         strongest = importances.orderBy(F.desc("importance_gain"), F.asc("feature")).limit(top)

@@ -28,6 +28,8 @@ def local_session(cores: int | str = 8, name: str = "paywatch", memory: str = "8
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
+        # Small inputs still spread over all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

@@ -24,16 +24,13 @@ def read_table(
     schema put into its order. Columns the schema does not name are left out;
     ones it names and the file lacks are an error.
     """
-    if fmt == "csv":
-        header = spark.read.option("header", True).csv(path).columns
-    else:
-        header = spark.read.format(fmt).load(path).columns
+    found = spark.read.option("header", True).format(fmt).load(path)
+    header = found.columns
     missing = [name for name in schema.fieldNames() if name not in header]
     if missing:
         raise ValueError(f"{path} lacks columns: {missing}")
     if fmt != "csv":
-        df = spark.read.format(fmt).load(path)
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+        return found.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
     known = {field.name: field for field in schema}
     in_file = T.StructType(
