@@ -39,21 +39,31 @@ def _bucketed(df: DataFrame, score: str, edges: Sequence[float], out: str) -> Da
     return marked.withColumn(out, F.col(out).cast("int"))
 
 
-def score_counts(df: DataFrame, score: str = SCORE, label: str = LABEL) -> DataFrame:
-    """Positives and negatives per distinct score. A missing score counts as 0."""
-    known = F.coalesce(present(F.col(score)), F.lit(0.0))
-    return df.groupBy(known.alias("score")).agg(
-        F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
-        F.sum((F.col(label) == 0).cast("bigint")).alias("neg"),
+def _labelled(df: DataFrame, score: str, label: str) -> DataFrame:
+    """(score, pos, neg) per row with a label. A missing score counts as 0."""
+    actual = F.col(label) == 1
+    return df.where(F.col(label).isNotNull()).select(
+        F.coalesce(present(F.col(score)), F.lit(0.0)).alias("score"),
+        actual.cast("bigint").alias("pos"),
+        (~actual).cast("bigint").alias("neg"),
     )
 
 
+def score_counts(df: DataFrame, score: str = SCORE, label: str = LABEL) -> DataFrame:
+    """Positives and negatives per distinct score."""
+    rows = _labelled(df, score, label)
+    return rows.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
 def curve(
     df: DataFrame, score: str = SCORE, label: str = LABEL, buckets: int | None = None
 ) -> DataFrame:
     """(score, pos, neg, tp, fp) per distinct score: tp and fp count the rows with
     this score or a higher one. `buckets` follows from the number of scores."""
-    counts = materialize(score_counts(df, score, label), "score-counts")
+    return _curve_of(materialize(score_counts(df, score, label), "score-counts"), buckets)
+
+
+def _curve_of(counts: DataFrame, buckets: int | None = None) -> DataFrame:
     if buckets is None:
         buckets = min(MOST_BUCKETS, 1 + counts.count() // SCORES_PER_BUCKET)
     shares = [i / buckets for i in range(1, buckets)]
@@ -142,22 +152,23 @@ def confusion(
     score: str = SCORE,
     label: str = LABEL,
 ) -> DataFrame:
-    """One row: tn, fp, fn, tp, precision, recall, f1 at an inclusive threshold."""
-    predicted = F.coalesce(present(F.col(score)) >= threshold, F.lit(False))
-    actual = F.col(label) == 1
+    """One row: tn, fp, fn, tp, precision, recall, f1 at an inclusive threshold above 0."""
+    return _confusion_of(_labelled(df, score, label), threshold)
 
-    def number(test: Column) -> Column:
-        return F.count(F.when(test, 1))
 
-    cells = df.where(F.col(label).isNotNull()).agg(
-        number(~actual & ~predicted).alias("tn"),
-        number(~actual & predicted).alias("fp"),
-        number(actual & ~predicted).alias("fn"),
-        number(actual & predicted).alias("tp"),
-    )
-    return cells.withColumns(
-        _threshold_measures(F.col("tp"), F.col("fp"), F.col("fn"))
+def _confusion_of(counts: DataFrame, threshold: float) -> DataFrame:
+    reached = F.col("score") >= threshold
+
+    def number(side: str, test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col(side))), F.lit(0)).cast("bigint")
+
+    cells = counts.agg(
+        number("neg", ~reached).alias("tn"),
+        number("neg", reached).alias("fp"),
+        number("pos", ~reached).alias("fn"),
+        number("pos", reached).alias("tp"),
     )
+    return cells.withColumns(_threshold_measures(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
 def threshold_sweep(
@@ -171,16 +182,10 @@ def threshold_sweep(
     Each row is counted once, under the highest threshold it reaches; suffix sums
     over the few grid rows do the rest.
     """
-    known = df.where(F.col(label).isNotNull()).withColumn(
-        "_score", F.coalesce(present(F.col(score)), F.lit(0.0))
-    )
     reached = (
-        _bucketed(known, "_score", grid, "_reached")
+        _bucketed(_labelled(df, score, label), "score", grid, "_reached")
         .groupBy("_reached")
-        .agg(
-            F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
-            F.sum((F.col(label) == 0).cast("bigint")).alias("neg"),
-        )
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
     # Position 0 is for the rows below every threshold.
     edges = ", ".join(["NULL"] + [f"{float(edge)!r}D" for edge in grid])
@@ -256,8 +261,10 @@ def comparison(
     the threshold used and the strongest features, as REPORT rows."""
     parts = []
     for model, scored in predictions.items():
-        parts.append(as_report(model, ranking_measures(scored)))
-        parts.append(as_report(model, confusion(scored, thresholds[model])))
+        # Scored once; everything else reads the written counts.
+        counts = materialize(score_counts(scored), "score-counts")
+        parts.append(as_report(model, _areas(_curve_of(counts))))
+        parts.append(as_report(model, _confusion_of(counts, thresholds[model])))
         chosen = scored.sparkSession.range(1).select(F.lit(thresholds[model]).alias("threshold"))
         parts.append(as_report(model, chosen))
     if importances is not None:

@@ -39,11 +39,18 @@ def local_session(cores: int | str = 8, name: str = "paywatch", memory: str = "8
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share, as the cluster names it in `spark.checkpoint.dir`.
+
+    A local session without the setting gets a temporary folder; a cluster
+    without it is an error, since no folder of the driver is seen by executors.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="paywatch-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 

@@ -7,6 +7,7 @@ from paywatch.plans.evaluation import ranking_measures
 from paywatch.plans.scoring import score
 from paywatch.schema import FEATURE_COLUMNS
 from paywatch.session import materialize
+from paywatch.streaming import append_to_table, read_stream
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -90,3 +91,11 @@ def test_missing_feature_scores_low_instead_of_failing(trained):
 def test_scoring_without_a_feature_fails_early(trained):
     with pytest.raises(ValueError, match="txn_hour"):
         score(trained[2].drop("txn_hour"), trained[0])
+
+
+def test_model_scores_a_stream_like_a_batch(spark, trained, tmp_path):
+    _, trees, test = trained
+    test.write.parquet(str(tmp_path / "in"))
+    stream = read_stream(spark, str(tmp_path / "in"), test.schema)
+    out = append_to_table(score(stream, trees), "model-stream")
+    assert out.orderBy("txn_id").collect() == score(test, trees).orderBy("txn_id").collect()
