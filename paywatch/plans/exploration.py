@@ -65,15 +65,17 @@ def label_correlation(
 ) -> DataFrame:
     """Pearson correlation of each column with the label, ascending, in one pass.
 
-    Built from moments: `corr` fails on a constant column, this gives null.
+    Built from moments: `corr` fails on a constant column, this gives null. Rows
+    with a null in any column are left out, so all share the label's moments.
     """
+    complete = features.dropna(subset=[*columns, label])
+    y = F.col(label).cast("double")
 
     def pearson(name: str) -> Column:
-        x, y = F.col(name).cast("double"), F.col(label).cast("double")
-        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        x = F.col(name).cast("double")
         return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
-    wide = features.agg(*[pearson(name).alias(name) for name in columns])
+    wide = complete.agg(*[pearson(name).alias(name) for name in columns])
     return wide.unpivot([], list(columns), "feature", "correlation").orderBy(
         F.asc_nulls_first("correlation"), F.asc("feature")
     )
