@@ -53,3 +53,52 @@ def split_heavy(df: DataFrame, key: str, heavy: DataFrame) -> tuple[DataFrame, D
     """
     listed = F.broadcast(heavy)
     return df.join(listed, is_key(key), "left_anti"), df.join(listed, is_key(key), "left_semi")
+
+
+def busy_instants(df: DataFrame, key: str, at: str, rule: HeavyRule = HeavyRule()) -> DataFrame:
+    """(_busy_key, _busy_at, _copies) of the instants of a key with many rows.
+
+    Bounded like the heavy keys; `_copies` is the number of parts to spread over.
+    """
+    part = max(rule.floor, 1)
+    return (
+        df.groupBy(F.col(key).alias("_busy_key"), F.col(at).alias("_busy_at"))
+        .agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") > part)
+        .orderBy(F.desc("_rows"), F.asc("_busy_key"), F.asc("_busy_at"))
+        .limit(rule.most)
+        .select("_busy_key", "_busy_at", F.ceil(F.col("_rows") / part).alias("_copies"))
+    )
+
+
+def join_instants(
+    df: DataFrame, lookup: DataFrame, busy: DataFrame, key: str, at: str
+) -> DataFrame:
+    """Left join a lookup with one row per (_key, _when).
+
+    A busy instant is salted: its rows go to several tasks, by a hash of the row
+    so that a repeated task sends them the same way, and its lookup row to each.
+    """
+    listed = F.broadcast(busy)
+
+    def with_copies(side: DataFrame, side_key: str, side_at: str) -> DataFrame:
+        same = F.col(side_key).eqNullSafe(F.col("_busy_key")) & (
+            F.col(side_at) == F.col("_busy_at")
+        )
+        copies = F.coalesce(F.col("_copies"), F.lit(1).cast("bigint"))
+        return side.join(listed, same, "left").withColumn("_copies", copies)
+
+    spread = with_copies(df, key, at).withColumn(
+        "_salt", F.pmod(F.xxhash64(*df.columns), F.col("_copies"))
+    )
+    repeated = with_copies(lookup, "_key", "_when").select(
+        *lookup.columns, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")
+    )
+    same = (
+        F.col(key).eqNullSafe(F.col("_key"))
+        & (F.col(at) == F.col("_when"))
+        & (F.col("_salt") == F.col("_copy"))
+    )
+    return spread.drop("_busy_key", "_busy_at", "_copies").join(repeated, same, "left").drop(
+        "_key", "_when", "_salt", "_copy"
+    )

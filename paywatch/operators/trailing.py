@@ -9,7 +9,13 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paywatch.operators.heavy import HeavyRule, heavy_keys, split_heavy
+from paywatch.operators.heavy import (
+    HeavyRule,
+    busy_instants,
+    heavy_keys,
+    join_instants,
+    split_heavy,
+)
 from paywatch.operators.running import running
 
 # Window groups of a heavy key: at most this long, hence at most 6e7 distinct
@@ -111,16 +117,20 @@ def trailing_lookup(
 
 
 def attach_trailing(
-    df: DataFrame, lookup: DataFrame, key: str, at: str, specs: Sequence[Trailing]
+    df: DataFrame,
+    lookup: DataFrame,
+    busy: DataFrame,
+    key: str,
+    at: str,
+    specs: Sequence[Trailing],
 ) -> DataFrame:
-    """Join the lookup to the rows; AQE splits the row side of a skewed instant."""
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(at) == F.col("_when"))
+    """Join the lookup to the rows, zero where it has none."""
     names = [spec.count for spec in specs] + [spec.total for spec in specs if spec.total]
     zero = {
         name: F.coalesce(F.col(name), F.lit(0).cast(lookup.schema[name].dataType))
         for name in names
     }
-    return df.join(lookup, same, "left").withColumns(zero).drop("_key", "_when")
+    return join_instants(df, lookup, busy, key, at).withColumns(zero)
 
 
 def add_trailing(
@@ -138,5 +148,5 @@ def add_trailing(
     ordinary, heavy = split_heavy(df, key, heavy_keys(df, key, rule))
     lookup = trailing_lookup(heavy, key, at, value, specs)
     return trailing_windowed(ordinary, key, at, value, specs).unionByName(
-        attach_trailing(heavy, lookup, key, at, specs)
+        attach_trailing(heavy, lookup, busy_instants(heavy, key, at, rule), key, at, specs)
     )

@@ -7,7 +7,13 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paywatch.operators.heavy import HeavyRule, heavy_keys, split_heavy
+from paywatch.operators.heavy import (
+    HeavyRule,
+    busy_instants,
+    heavy_keys,
+    join_instants,
+    split_heavy,
+)
 from paywatch.operators.running import running
 from paywatch.operators.trailing import BUCKET
 
@@ -67,14 +73,16 @@ def usual_lookup(
 
 
 def attach_usual(
-    df: DataFrame, lookup: DataFrame, key: str, attribute: str, at: str, out: str
+    df: DataFrame,
+    lookup: DataFrame,
+    busy: DataFrame,
+    key: str,
+    attribute: str,
+    at: str,
+    out: str,
 ) -> DataFrame:
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(at) == F.col("_when"))
-    return (
-        df.join(lookup, same, "left")
-        .withColumn(out, _differs(attribute))
-        .drop("_key", "_when", "_usual")
-    )
+    joined = join_instants(df, lookup, busy, key, at)
+    return joined.withColumn(out, _differs(attribute)).drop("_usual")
 
 
 def add_usual_mismatch(
@@ -88,6 +96,7 @@ def add_usual_mismatch(
     """1 where the attribute differs from the key's usual one; 0 with no history."""
     ordinary, heavy = split_heavy(df, key, heavy_keys(df, key, rule))
     lookup = usual_lookup(heavy, key, attribute, at)
+    busy = busy_instants(heavy, key, at, rule)
     return usual_windowed(ordinary, key, attribute, at, out).unionByName(
-        attach_usual(heavy, lookup, key, attribute, at, out)
+        attach_usual(heavy, lookup, busy, key, attribute, at, out)
     )

@@ -28,7 +28,7 @@ from paywatch.operators.first_seen import (
     first_seen_lookup,
     first_seen_windowed,
 )
-from paywatch.operators.heavy import HeavyRule, heavy_keys, split_heavy
+from paywatch.operators.heavy import HeavyRule, busy_instants, heavy_keys, split_heavy
 from paywatch.operators.trailing import (
     Trailing,
     add_trailing,
@@ -150,13 +150,13 @@ def build_features(
     if specs or pair or spread or usual:
         rows = rows.withColumn("_at", micros(F.col(TIME)))
         ordinary, heavy = split_heavy(rows, SENDER, heavy_keys(df, SENDER, rule))
-        heavy_rows = heavy
+        heavy_rows, busy = heavy, busy_instants(heavy, SENDER, "_at", rule)
         # Windows on the sender alone come first: their shuffle then also serves
         # the windows on the sender and a second column.
         if specs:
             ordinary = trailing_windowed(ordinary, SENDER, "_at", AMOUNT, specs)
             lookup = trailing_lookup(heavy_rows, SENDER, "_at", AMOUNT, specs)
-            heavy = attach_trailing(heavy, lookup, SENDER, "_at", specs)
+            heavy = attach_trailing(heavy, lookup, busy, SENDER, "_at", specs)
         if spread:
             ordinary = zscore_windowed(ordinary, SENDER, AMOUNT, "amount_zscore")
             # One row per heavy sender: the bound of the rule makes this small.
@@ -165,7 +165,7 @@ def build_features(
         for name, column in usual.items():
             ordinary = usual_windowed(ordinary, SENDER, column, "_at", name)
             lookup = usual_lookup(heavy_rows, SENDER, column, "_at")
-            heavy = attach_usual(heavy, lookup, SENDER, column, "_at", name)
+            heavy = attach_usual(heavy, lookup, busy, SENDER, column, "_at", name)
         if pair:
             ordinary = first_seen_windowed(
                 ordinary, SENDER, RECEIVER, "_at", ROW_ID, "is_new_receiver"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from paywatch.functions import micros
 from paywatch.operators import HeavyRule, Trailing, add_first_seen, add_trailing, add_usual_mismatch
+from paywatch.operators.heavy import busy_instants, heavy_keys
 from paywatch.operators.trailing import attach_trailing, trailing_lookup
 from paywatch.plans.features import (
     USUAL,
@@ -191,7 +192,9 @@ def test_bucket_length_does_not_matter(payments, bucket):
     df = payments(*history(payments, 5)).withColumn("_at", micros(F.col("timestamp")))
     specs = [Trailing(timedelta(hours=1), "n1"), Trailing(timedelta(days=2), "n2", "total")]
     lookup = trailing_lookup(df, "sender_vpa", "_at", "amount", specs, bucket)
-    split = attach_trailing(df, lookup, "sender_vpa", "_at", specs)
+    busy = busy_instants(df, "sender_vpa", "_at", HeavyRule(floor=2))
+    assert busy.count() > 0
+    split = attach_trailing(df, lookup, busy, "sender_vpa", "_at", specs)
     window = add_trailing(df, "sender_vpa", "_at", "amount", specs)
     for name in ("n1", "n2", "total"):
         assert column(split, name) == column(window, name)
@@ -237,3 +240,23 @@ def test_wall_clock_micros_ignore_the_session_zone(spark, payments):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert utc == [(at(t) - datetime(1970, 1, 1)) // timedelta(microseconds=1) for t in times]
+
+
+def test_busy_instants_spread_and_stay_whole(payments):
+    """Most rows at one instant of one sender: they join in several parts."""
+    rows = [{"amount": i + 1} for i in range(60)] + [{"timestamp": at("2024-01-01 00:30:00")}] * 3
+    df = payments(*rows).withColumn("_at", micros(F.col("timestamp")))
+    rule = HeavyRule(floor=10)
+    busy = busy_instants(df, "sender_vpa", "_at", rule)
+    assert [r["_copies"] for r in busy.collect()] == [6]
+    found = build_features(df.drop("_at"), ["sender_txn_velocity_1h", "usual_device_mismatch"], rule)
+    assert column(found, "sender_txn_velocity_1h") == [0] * 60 + [60] * 3
+    assert column(found, "usual_device_mismatch") == [0] * 63
+
+
+def test_lists_of_heavy_keys_are_bounded(payments):
+    df = payments(*[{"sender_vpa": s} for s in "aaabbbccd"])
+    assert column(heavy_keys(df, "sender_vpa", HeavyRule(floor=1, most=2)), "_heavy", "_heavy") == ["a", "b"]
+    # A key beyond the bound takes the window form: nothing is lost.
+    rule = HeavyRule(floor=0, most=1)
+    assert build_features(df, rule=rule).count() == 9
