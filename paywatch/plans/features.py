@@ -123,6 +123,14 @@ def add_new_receiver(df: DataFrame, rule: HeavyRule = HeavyRule()) -> DataFrame:
     return add_first_seen(df, SENDER, RECEIVER, TIME, ROW_ID, "is_new_receiver", rule)
 
 
+# The steps that need only the row itself, and what each one adds.
+_STATELESS = (
+    (add_calendar, {"txn_hour", "txn_day_of_week", "is_night_txn", "is_weekend"}),
+    (add_amount_shape, {"amount_log", "amount_round_number"}),
+    (add_status, {"txn_status_encoded"}),
+)
+
+
 def build_features(
     df: DataFrame,
     only: Iterable[str] | None = None,
@@ -140,9 +148,15 @@ def build_features(
     """
     derived = DERIVED.fieldNames() + list(USUAL)
     chosen = set(DERIVED.fieldNames() if only is None else only)
+    unknown = sorted(chosen - set(derived))
+    if unknown:
+        raise ValueError(f"Unknown features: {unknown}")
     wanted = [name for name in derived if name in chosen]
     base = df.select(*[name for name in df.columns if name not in derived])
-    rows = add_status(add_amount_shape(add_calendar(base)))
+    rows = base
+    for step, columns in _STATELESS:
+        if chosen & columns:
+            rows = step(rows)
 
     specs = list(dict.fromkeys(_TRAILING[name] for name in wanted if name in _TRAILING))
     usual = {name: column for name, column in USUAL.items() if name in wanted}
@@ -150,7 +164,9 @@ def build_features(
     if specs or pair or spread or usual:
         rows = rows.withColumn("_at", micros(F.col(TIME)))
         ordinary, heavy = split_heavy(rows, SENDER, heavy_keys(df, SENDER, rule))
-        heavy_rows, busy = heavy, busy_instants(heavy, SENDER, "_at", rule)
+        heavy_rows = heavy
+        if specs or usual:
+            busy = busy_instants(heavy_rows, SENDER, "_at", rule)
         # Windows on the sender alone come first: their shuffle then also serves
         # the windows on the sender and a second column.
         if specs:

@@ -215,6 +215,8 @@ def test_only_the_features_asked_for(payments):
     df = build_features(payments({}), ["txn_hour", "is_new_receiver"])
     assert df.columns[-2:] == ["txn_hour", "is_new_receiver"]
     assert build_features(payments({})).columns == FEATURES.fieldNames()
+    with pytest.raises(ValueError, match="txn_minute"):
+        build_features(payments({}), ["txn_minute"])
 
 
 def test_types_follow_the_schema(payments):
