@@ -97,6 +97,7 @@ def words(flat: np.ndarray, bounds: np.ndarray, separators: bytes) -> tuple[np.n
         return np.zeros(0, U64), np.zeros(len(bounds) - 1, np.int64)
     table = np.ones(256, bool)
     table[list(separators)] = False
+    table[ord("A") : ord("Z") + 1] = table[ord("a") : ord("z") + 1]
     inside = table[flat]
     before = np.empty_like(inside)
     before[0], before[1:] = False, inside[:-1]

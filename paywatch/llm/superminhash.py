@@ -8,9 +8,9 @@ lowers the variance, and a pass may end as soon as every component is below j +
 
 Documents of equal sets are one class, named by the smallest id. Bands of the
 signature gather candidates among classes; links are confirmed on the full sets.
-In each bucket every class meets a leader; classes of a bucket that are not yet
-connected then meet further leaders, until all its pairs are connected or compared.
-No bucket is ever expanded into all pairs.
+In each bucket every class first meets the smallest, the head. What that leaves
+unconnected is compared by signature inside tasks, block against block, and only
+likely pairs come out; no bucket is expanded into rows for all its pairs.
 
 Null texts have no words. Rows that repeat, with one id, form one document and get
 the same answer. A row without an id belongs to the group of an equal set; alone, it
@@ -19,6 +19,7 @@ is its own group with a null name. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +34,11 @@ from paywatch.session import materialize
 WORDS_PER_SHINGLE = 5
 BANDS, ROWS = 32, 5
 #: Length of a signature: a prime, so that steps of any size visit every component.
-LENGTH = 163
-#: Share of equal signature bytes below which a pair is not looked at: six standard
-#: deviations below 0.85 at 160 components.
-LIKELY = 0.68
-#: Leaders that each bucket takes in later rounds.
-LEADERS = 8
+LENGTH = 257
+#: Components kept, as a byte each, to tell unlikely pairs.
+WIDTH = 256
+#: Classes that one task compares with as many others.
+BLOCK = 4096
 MASK = (1 << 64) - 1
 
 
@@ -73,16 +73,16 @@ def shingles(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def signatures(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """[text, component]: step j in the upper byte, then 56 random bits."""
+    """[text, component]: step j above 54 random bits."""
     n = len(counts)
     out = np.full(n * LENGTH, np.iinfo(np.uint64).max, U64)
     owner = row_of(counts)
     seed = mix(hashes ^ U64(0xA0761D6478BD642F))
     place, stride = seed % U64(LENGTH), U64(1) + (seed >> U64(32)) % U64(LENGTH - 1)
     for j in range(LENGTH):
-        value = U64(j << 56) | (mix(hashes + U64(j * int(BASE) & MASK)) >> U64(8))
+        value = U64(j << 54) | (mix(hashes + U64(j * int(BASE) & MASK)) >> U64(10))
         np.minimum.at(out, owner * LENGTH + place.astype(np.int64), value)
-        done = out.reshape(n, LENGTH).max(1) < U64((j + 1) << 56)
+        done = out.reshape(n, LENGTH).max(1) < U64((j + 1) << 54)
         going = ~done[owner]
         if not going.any():
             break
@@ -91,6 +91,13 @@ def signatures(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out.reshape(n, LENGTH)
 
 
+def likeness(percent: int) -> float:
+    """Share of equal signature bytes below which a pair is not looked at: 4.5 standard
+    deviations below the threshold."""
+    p = percent / 100
+    return p - 4.5 * math.sqrt(p * (1 - p) / WIDTH)
+
+
 def band_hashes(signature: np.ndarray) -> np.ndarray:
     parts = signature[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
     out = np.broadcast_to(np.arange(BANDS, dtype=U64) + U64(1), parts.shape[:2]).copy()
@@ -117,7 +124,7 @@ def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 np.add.at(sums[0], owner, hashes)
                 np.add.at(sums[1], owner, mix(hashes + U64(77)))
                 signature = signatures(hashes, counts)
-                small = (mix(signature[:, : BANDS * ROWS]) >> U64(56)).astype(np.uint8)
+                small = (mix(signature[:, :WIDTH]) >> U64(56)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low),
@@ -141,17 +148,77 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     joined = pairs.join(left, "a").join(right, "b").filter(
         F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     )
-    width = BANDS * ROWS
+    least = likeness(percent)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(n, width) for i in (2, 3))
-            yield batch.select([0, 1]).filter(pa.array((a == b).mean(1) >= LIKELY))
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(n, WIDTH) for i in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array((a == b).mean(1) >= least))
 
     return joined.select("a", "b", "s_a", "s_b").mapInArrow(keep, "a long, b long")
 
 
+def among(met: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs among the classes that met one head and are not yet connected.
+
+    Whatever shares a bucket has met that bucket's head, so all pairs of buckets are
+    among these. A large circle is cut into blocks, and each task compares two blocks.
+    """
+    met = met.select("head", "node", F.coalesce("root", "node").alias("comp"))
+    size = met.groupBy("head").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
+    rows = met.join(size.filter("low < high").select("head", blocks), "head")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # A pair that met several heads is left to the first of them.
+    common = met.groupBy("node").agg(F.sort_array(F.collect_set("head")).alias("heads"))
+    rows = rows.select(
+        "head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp"
+    ).join(common, "node").join(classes.select("node", "n", "signature"), "node")
+    rows = rows.repartition("head", "i", "j").sortWithinPartitions("head", "i", "j")
+    least = likeness(percent)
+
+    def compare(group: pa.Table) -> pa.RecordBatch:
+        i, own, node, comp, n = (group[c].to_numpy() for c in ("i", "own", "node", "comp", "n"))
+        signature = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(-1, WIDTH)
+        head, heads = group["head"][0].as_py(), [set(x) for x in group["heads"].to_pylist()]
+        first = np.flatnonzero(own == i)
+        second = first if group["i"][0] == group["j"][0] else np.flatnonzero(own != i)
+        a, b = [], []
+        for at in range(0, len(first), 32):
+            part = first[at : at + 32]
+            may = comp[part][:, None] != comp[second][None]
+            low, high = np.minimum(n[part][:, None], n[second][None]), np.maximum(n[part][:, None], n[second][None])
+            p, q = np.nonzero(may & (low * 100 >= high * percent))
+            p, q = part[p], second[q]
+            for k in range(0, len(p), 1 << 16):
+                u, v = p[k : k + (1 << 16)], q[k : k + (1 << 16)]
+                close = (signature[u] == signature[v]).mean(1) >= least
+                for x, y in zip(u[close].tolist(), v[close].tolist(), strict=True):
+                    if min(heads[x] & heads[y]) == head:
+                        a.append(min(node[x], node[y]))
+                        b.append(max(node[x], node[y]))
+        pairs = np.unique(np.array([a, b], np.int64).T, axis=0) if a else np.zeros((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            key = np.stack([batch.column(c).to_numpy() for c in (1, 2, 3)], 1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b > a:
+                    if held and held[-1].select(["head", "i", "j"]).slice(0, 1).to_pylist() != batch.select([1, 2, 3]).slice(a, 1).to_pylist():
+                        yield compare(pa.concat_tables(held))
+                        held = []
+                    held.append(pa.Table.from_batches([batch.slice(a, b - a)]))
+        if held:
+            yield compare(pa.concat_tables(held))
+
+    return rows.select("node", "head", "i", "j", "own", "comp", "n", "signature", "heads").mapInArrow(run, "a long, b long")
+
+
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,34 +261,30 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_c
     least = 1
     while 100 * least < percent * (least + 1):
         least += 1
-    members = classes.filter(F.col("n") >= least).select(F.explode("bands").alias("key"), "node")
-    members = members.withColumn("comp", F.col("node"))
-    roots = None
-    leaders = 1
-    while True:
-        span = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
-        open_members = materialize(members.join(span.select("key"), "key"), "buckets")
-        if open_members.isEmpty():
-            return roots if roots is not None else docs.sparkSession.createDataFrame([], "node long, root long")
-        heads = open_members.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(leaders)).alias("part")).agg(
-            F.min(F.struct("node", "comp")).alias("head")
-        )
-        heads = heads.select("key", F.col("head.node").alias("head"), F.col("head.comp").alias("head_comp"))
-        pairs = (
-            open_members.join(heads, "key")
-            .filter("comp <> head_comp")
-            .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
-            .distinct()
-        )
-        found = confirm(
-            materialize(likely(pairs, classes, percent), "pairs"), docs, percent, id_col, text_col
-        )
-        edges = found if roots is None else found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(edges)
-        # A leader has met all of its bucket.
-        rest = open_members.join(heads.select("key", F.col("head").alias("node")), ["key", "node"], "left_anti")
-        members = rest.join(roots, "node", "left").select("key", "node", F.coalesce("root", "comp").alias("comp"))
-        leaders = LEADERS
+    members = classes.filter(F.col("n") >= least).select(F.explode("bands").alias("key"), "node", "n")
+    shared = members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    members = members.join(shared.select("key"), "key")
+    # Linked sets differ little in size: each bucket falls into overlapping bins of size,
+    # such that two sets whose sizes allow a link meet in one.
+    width = math.log(100 / percent) * 1.001
+    size_bin = F.floor(F.log(F.col("n").cast("double")) / width)
+    members = members.select(
+        F.col("node").alias("node"),
+        F.col("node").alias("comp"),
+        F.explode(F.transform(F.array(F.lit(0), F.lit(1)), lambda i: F.xxhash64("key", size_bin + i))).alias("key"),
+    )
+    buckets = materialize(members, "buckets")
+    heads = buckets.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head < last")
+    met = materialize(buckets.join(heads, "key").select("head", "node").distinct(), "met")
+    pairs = met.filter("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    found = confirm(materialize(likely(pairs, classes, percent), "pairs"), docs, percent, id_col, text_col)
+    found = materialize(found, "links")
+    roots = components(found)
+    rest = materialize(among(met.join(roots, "node", "left"), classes, percent), "pairs")
+    if rest.isEmpty():
+        return roots
+    more = confirm(rest.distinct(), docs, percent, id_col, text_col)
+    return components(found.unionByName(more))
 
 
 def groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
