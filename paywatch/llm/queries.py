@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywatch.llm import mixing, quality, slots, superminhash, url_filter, winnowing
+from paywatch.llm import mixing, quality, slots, suffixes, superminhash, url_filter, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,10 @@ def mixed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.digest(suffixes.cut(table(spark, folder, "documents")))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,4 +89,5 @@ def llm_queries() -> dict[str, Query]:
         "op6_quality_trees": quality_scores,
         "op7_winnowing": benchmark_hits,
         "op9_source_mixing": mixed,
+        "op10_suffix_dedup": repeated_passages,
     }
