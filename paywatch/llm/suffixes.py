@@ -36,7 +36,7 @@ WINDOW = SPAN - GRAM + 1
 SIDE = WINDOW - 1
 AROUND = GRAM + 2 * SIDE
 #: Bytes of text that a task settles at once, and that one part of the work stands for.
-CHUNK_BYTES, PART_BYTES = 8 << 20, 32 << 20
+CHUNK_BYTES, PART_BYTES = 8 << 20, 8 << 20
 #: Rows sorted at once.
 SORT_ROWS = 1 << 16
 
@@ -281,7 +281,7 @@ def gather(parts: int):
             body, clip = around(flat[bounds[0] : bounds[1]], at)
             held.append((np.full(len(at), ids), at, body, clip))
             size += len(at) * AROUND
-            if size >= 4 * CHUNK_BYTES:
+            if size >= 2 * CHUNK_BYTES:
                 yield _rows(list(settle(*(np.concatenate(x) for x in zip(*held, strict=True)))))
                 held, size = [], 0
         if held:
@@ -452,15 +452,25 @@ def _sorted_repeats(ids: np.ndarray, at: np.ndarray, body: np.ndarray, clip: np.
         yield ids[gone], start, start + SPAN
 
 
+def _release(df: DataFrame) -> None:
+    """Let Spark's cleaner drop the shuffle files of steps whose result is written."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
     """Packed removed stretches by part, and the number of parts; `docs` has doc_id and text."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(size // PART_BYTES) + 1
     found = docs.mapInArrow(find_anchors(parts), PACKED).repartition(parts, "part").sortWithinPartitions("part")
     shared = materialize(found.mapInArrow(shared_anchors(parts), PACKED), "anchors")
+    del found
+    _release(docs)
     around = beside_texts(docs, shared, parts).mapInArrow(gather(parts), PACKED)
     around = around.repartition(parts, "part").sortWithinPartitions("part")
-    return materialize(around.mapInArrow(repeated(parts), PACKED), "repeats"), parts
+    spans = materialize(around.mapInArrow(repeated(parts), PACKED), "repeats")
+    del around
+    _release(docs)
+    return spans, parts
 
 
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
