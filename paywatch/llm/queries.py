@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywatch.llm import mixing, quality, slots, suffixes, superminhash, url_filter, winnowing
+from paywatch.llm import masked_lm, mixing, quality, slots, suffixes, superminhash, token_files, url_filter, winnowing
+from paywatch.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,19 @@ def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write_token_files(table(spark, folder, "documents"), path)
+    counts = token_files.count_tokens(token_files.scan(token_files.read_blocks(spark, path)))
+    part = F.regexp_extract("file", "part-([0-9]+)", 1).cast("int")
+    return counts.select(part.alias("part"), "position", "n_tokens", "terminated")
+
+
+def pseudo_likelihoods(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return masked_lm.score(docs, *masked_lm.train(docs))
+
+
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return superminhash.groups(table(spark, folder, "documents"), percent=85)
 
@@ -84,10 +98,12 @@ def llm_queries() -> dict[str, Query]:
     return {
         "pipeline": pipeline,
         "op1_url_filter": url_verdicts,
+        "op3_token_counts": token_counts,
         "op4_superminhash": near_duplicates,
         "op5_virtual_slots": sharded,
         "op6_quality_trees": quality_scores,
         "op7_winnowing": benchmark_hits,
+        "op8_masked_likelihood": pseudo_likelihoods,
         "op9_source_mixing": mixed,
         "op10_suffix_dedup": repeated_passages,
     }
