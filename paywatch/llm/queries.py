@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywatch.llm import masked_lm, mixing, quality, slots, suffixes, superminhash, token_files, url_filter, winnowing
+from paywatch.llm import curves, masked_lm, mixing, quality, slots, suffixes, superminhash, token_files, url_filter, winnowing
 from paywatch.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return curves.nearest(table(spark, folder, "embeddings"), every=20, k=20)
+
+
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, folder, "documents"), path)
@@ -98,6 +102,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "pipeline": pipeline,
         "op1_url_filter": url_verdicts,
+        "op2_curve_neighbours": nearest_vectors,
         "op3_token_counts": token_counts,
         "op4_superminhash": near_duplicates,
         "op5_virtual_slots": sharded,
