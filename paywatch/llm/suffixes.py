@@ -20,6 +20,8 @@ empty, and a row without an id neither loses bytes nor takes them from others.
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -281,7 +283,7 @@ def gather(parts: int):
             body, clip = around(flat[bounds[0] : bounds[1]], at)
             held.append((np.full(len(at), ids), at, body, clip))
             size += len(at) * AROUND
-            if size >= 2 * CHUNK_BYTES:
+            if size >= 4 * CHUNK_BYTES:
                 yield _rows(list(settle(*(np.concatenate(x) for x in zip(*held, strict=True)))))
                 held, size = [], 0
         if held:
@@ -453,8 +455,15 @@ def _sorted_repeats(ids: np.ndarray, at: np.ndarray, body: np.ndarray, clip: np.
 
 
 def _release(df: DataFrame) -> None:
-    """Let Spark's cleaner drop the shuffle files of steps whose result is written."""
-    df.sparkSession.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of steps whose result is written.
+
+    It follows the driver's garbage collection; the second round gets what the
+    listeners still held during the first.
+    """
+    for _ in range(2):
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
