@@ -66,9 +66,13 @@ def key_hashes(key: Column, seed: int = 0) -> list[Column]:
     return [F.xxhash64(F.lit(seed), key).alias("h1"), F.xxhash64(F.lit(seed + 1), key).alias("h2")]
 
 
-def build_level(keys: DataFrame, n: int, bits_per_key: float) -> Level:
-    """One Bloom filter; its words are combined in Spark and have a size known beforehand."""
-    bits = max(64, math.ceil(n * bits_per_key / 64) * 64)
+def build_level(keys: DataFrame, n: int, bits_per_key: float, depth: int = 0) -> Level:
+    """One Bloom filter; its words are combined in Spark and have a size known beforehand.
+
+    Small filters of one length would confuse the same keys at every depth, so each
+    depth has a length of its own.
+    """
+    bits = max(64, math.ceil(n * bits_per_key / 64) * 64) - depth % 31
     hashes = max(1, round(bits_per_key * math.log(2)))
     first, step = F.pmod("h1", F.lit(bits)), F.pmod("h2", F.lit(bits))
     places = F.array(*[F.pmod(first + i * step, F.lit(bits)) for i in range(hashes)])
@@ -78,7 +82,7 @@ def build_level(keys: DataFrame, n: int, bits_per_key: float) -> Level:
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
         .collect()
     )
-    words = np.zeros(bits // 64, np.uint64)
+    words = np.zeros(bits // 64 + 1, np.uint64)
     for word, value in set_words:
         words[word] = np.uint64(value & 0xFFFFFFFFFFFFFFFF)
     return Level(bits, hashes, words)
@@ -105,7 +109,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, most_bytes: int = MOST
             size += n * per_key / 8
             if size > most_bytes:
                 return None
-            level = build_level(mine, n, per_key)
+            level = build_level(mine, n, per_key, len(levels))
             levels.append(level)
             # What the new level takes for its own is the next level's content.
             mine, wrong = held_by(wrong, level).persist(), mine
