@@ -47,7 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="paywatch-")
         context.setCheckpointDir(folder)
