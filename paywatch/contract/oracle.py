@@ -12,12 +12,20 @@ def rounded(value: str, digits: int) -> str:
     return f"(floor(CAST({value} AS DOUBLE) * {scale} + 0.5) / {scale})"
 
 
+def exact(units: str, whole: str, digits: int) -> str:
+    """units / whole in whole numbers, up where the remainder is half or more."""
+    return (
+        f"(CAST(({units}) // nullif({whole}, 0) + CASE WHEN 2 * (({units}) % nullif({whole}, 0)) >= {whole} "
+        f"THEN 1 ELSE 0 END AS DOUBLE) / {float(10**digits)}::DOUBLE)"
+    )
+
+
 def pct(part: str, whole: str, digits: int) -> str:
-    return rounded(f"100.0::DOUBLE * CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0)", digits)
+    return exact(f"CAST({part} AS HUGEINT) * {100 * 10**digits}", f"CAST({whole} AS HUGEINT)", digits)
 
 
 def mean_money(case: str) -> str:
-    return rounded(f"CAST(sum({case}) AS DOUBLE) / nullif(count({case}), 0)", 2)
+    return exact(f"CAST(sum({case}) * 100 AS HUGEINT)", f"CAST(count({case}) AS HUGEINT)", 2)
 
 
 ROWS_EVENTS = """
@@ -559,7 +567,7 @@ def all_oracles() -> dict[str, str]:
             "FROM raw"
         ),
         "m2_split": on_scored(
-            "SELECT txn_id, CAST(substr(md5(txn_id), 1, 2) < '33' AS INTEGER) AS is_test FROM raw"
+            "SELECT txn_id, CAST(substr(md5(txn_id), 1, 8) < '33333333' AS INTEGER) AS is_test FROM raw"
         ),
         "z1_daily_trend_stream": f"SELECT * FROM ({DAILY}) WHERE "
         "txn_date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR",

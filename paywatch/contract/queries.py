@@ -48,8 +48,8 @@ from paywatch.streaming import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The test tables have no sender above the default bounds. With this rule every
-# sender of more than 20 rows takes the split forms.
-SPLIT_MOST = HeavyRule(floor=20)
+# sender of more than one row takes the split forms.
+SPLIT_MOST = HeavyRule(floor=1)
 QUEUE_DAY = date(2024, 1, 1)
 FEW_ROUNDS = 8
 
@@ -115,8 +115,8 @@ def scored_by_day(spark: SparkSession, folder: str) -> DataFrame:
 
 def pruned_day(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "scored-days")
-    write_table(scored(spark, folder, "sender_txn_velocity_1h"), path, by_day=True)
-    return operations.high_risk_queue(spark.read.parquet(path), QUEUE_DAY)
+    write_table(rule_score(features(spark, folder)), path, by_day=True)
+    return operations.high_risk_queue(read_scored(spark, path, with_day=True), QUEUE_DAY)
 
 
 def sql_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -289,7 +289,7 @@ def _inputs(spark: SparkSession, folder: str) -> DataFrame:
 
 def logistic_scores(spark: SparkSession, folder: str) -> DataFrame:
     train, test = training.split(_inputs(spark, folder))
-    return score(test, training.train_logistic(train, max_iter=100))
+    return score(test, training.train_logistic(train))
 
 
 def trees_scores(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,7 @@ from paywatch.functions.columns import (
     ratio,
     risk_tier,
     round_half_up,
+    rounded_quotient,
 )
 
 __all__ = [
@@ -22,4 +23,5 @@ __all__ = [
     "ratio",
     "risk_tier",
     "round_half_up",
+    "rounded_quotient",
 ]

@@ -54,10 +54,20 @@ def round_half_up(value: Column, digits: int) -> Column:
     return F.floor(value.cast("double") * scale + F.lit(0.5)).cast("double") / scale
 
 
+def rounded_quotient(part: Column, whole: Column, digits: int) -> Column:
+    """part / whole of whole numbers, rounded half away from zero without any loss;
+    null for an empty whole, which is never negative."""
+    scaled = F.abs(part).cast("decimal(38,0)") * F.lit(2 * 10**digits)
+    bottom = F.nullif(whole, F.lit(0).cast("bigint")).cast("decimal(38,0)")
+    steps = F.call_function(
+        "div", (scaled + bottom).cast("decimal(38,0)"), (bottom * F.lit(2)).cast("decimal(38,0)")
+    )
+    return F.signum(part.cast("double")) * steps.cast("double") / F.lit(float(10**digits))
+
+
 def rate_pct(part: Column, whole: Column, digits: int) -> Column:
     """100 * part / whole, rounded; null for an empty whole."""
-    share = F.try_divide(F.lit(100.0) * part.cast("double"), whole.cast("double"))
-    return round_half_up(share, digits)
+    return rounded_quotient(part * F.lit(100), whole, digits)
 
 
 def risk_tier(probability: Column) -> Column:

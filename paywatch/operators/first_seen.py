@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from paywatch.operators.heavy import HeavyRule, heavy_keys, split_heavy
 
+#: Parts over which a heavy key's pair is spread.
+SALTS = 256
+
 
 def first_seen_windowed(
     df: DataFrame, key: str, other: str, at: str, row_id: str, out: str
@@ -16,22 +19,22 @@ def first_seen_windowed(
     return df.withColumn(out, (F.row_number().over(order) == 1).cast("int"))
 
 
-def first_seen_lookup(df: DataFrame, key: str, other: str, at: str, row_id: str) -> DataFrame:
-    """Split form: the id of the earliest row of each pair."""
-    return (
-        df.groupBy(key, other)
-        .agg(F.min(F.struct(F.col(at), F.col(row_id))).alias("_first"))
-        .select(F.col(f"_first.{row_id}").alias("_first_id"))
-    )
-
-
-def attach_first_seen(df: DataFrame, lookup: DataFrame, row_id: str, out: str) -> DataFrame:
-    """Join on the unique row id: even however large a key or pair is."""
-    return (
-        df.join(lookup, F.col(row_id) == F.col("_first_id"), "left")
-        .withColumn(out, F.col("_first_id").isNotNull().cast("int"))
-        .drop("_first_id")
+def first_seen_split(
+    df: DataFrame, key: str, other: str, at: str, row_id: str, out: str, salts: int = SALTS
+) -> DataFrame:
+    """Split form: the earliest row of each salted part of a pair, then the earliest of those.
+
+    The first window spreads a pair over `salts` tasks. In the second, a pair's
+    candidates meet, at most `salts` of them; all other rows stay spread.
+    """
+    parts = df.withColumn("_part", F.pmod(F.xxhash64(row_id, at), F.lit(salts)))
+    within = Window.partitionBy(key, other, "_part").orderBy(at, row_id)
+    leads = F.row_number().over(within) == 1
+    marked = parts.withColumn("_lead", leads).withColumn(
+        "_part", F.when(F.col("_lead"), F.lit(-1)).otherwise(F.col("_part"))
     )
+    first = F.row_number().over(within) == 1
+    return marked.withColumn(out, (F.col("_lead") & first).cast("int")).drop("_part", "_lead")
 
 
 def add_first_seen(
@@ -43,9 +46,12 @@ def add_first_seen(
     out: str,
     rule: HeavyRule = HeavyRule(),
 ) -> DataFrame:
-    """1 on the first row of each (key, other), else 0. `row_id` is unique and breaks ties."""
+    """1 on the first row of each (key, other) in the order of (at, row_id), else 0.
+
+    Exactly one row of a pair gets 1, also where ids or times are null (null times
+    come first) or repeat; of rows equal in both, any one.
+    """
     ordinary, heavy = split_heavy(df, key, heavy_keys(df, key, rule))
-    lookup = first_seen_lookup(heavy, key, other, at, row_id)
     return first_seen_windowed(ordinary, key, other, at, row_id, out).unionByName(
-        attach_first_seen(heavy, lookup, row_id, out)
+        first_seen_split(heavy, key, other, at, row_id, out)
     )

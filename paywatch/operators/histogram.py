@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paywatch.functions import present
+
 
 def histogram(
     df: DataFrame,
@@ -17,7 +19,7 @@ def histogram(
     """(class, bin, lower_edge, count) with every bin present, also the empty ones.
 
     Each class has its own range, from its smallest to its largest value; the
-    last bin is closed on both sides. `classes` maps a name to the condition
+    last bin is closed on both sides; null and NaN are in none. `classes` maps a name to the condition
     that selects it, and the conditions exclude each other.
 
     The ranges are one combined row, handed to the second pass as a subquery, so
@@ -28,7 +30,7 @@ def histogram(
     names = list(classes)
     pairs = df.select(
         F.coalesce(*[F.when(test, F.lit(name)) for name, test in classes.items()]).alias("class"),
-        value.cast("double").alias("_x"),
+        present(value).alias("_x"),
     ).where(F.col("class").isNotNull() & F.col("_x").isNotNull())
 
     def widened(name: str) -> Column:

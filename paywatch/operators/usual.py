@@ -18,7 +18,8 @@ from paywatch.operators.running import running
 from paywatch.operators.trailing import BUCKET
 
 # "Usual" at time t: among the key's rows before t, the attribute with the most
-# rows; of several, the one that reached that number last.
+# rows; of several, the one that reached that number last. A row without a time has
+# no history and is none.
 
 
 def usual_windowed(df: DataFrame, key: str, attribute: str, at: str, out: str) -> DataFrame:
@@ -31,9 +32,12 @@ def usual_windowed(df: DataFrame, key: str, attribute: str, at: str, out: str) -
     before = (
         Window.partitionBy(key).orderBy(at).rangeBetween(Window.unboundedPreceding, -1)
     )
-    standing = F.struct(F.col("_uses"), F.col(at), F.col(attribute).alias("_attribute"))
+    standing = F.when(
+        F.col(at).isNotNull(),
+        F.struct(F.col("_uses"), F.col(at), F.col(attribute).alias("_attribute")),
+    )
     return (
-        df.withColumn("_uses", F.count("*").over(so_far))
+        df.withColumn("_uses", F.count(at).over(so_far))
         .withColumn("_usual", F.max(standing).over(before))
         .withColumn(out, _differs(attribute))
         .drop("_uses", "_usual")
@@ -53,7 +57,8 @@ def usual_lookup(
     running folds over combined instants."""
     length = bucket // timedelta(microseconds=1)
     instants = (
-        df.groupBy(
+        df.where(F.col(at).isNotNull())
+        .groupBy(
             F.col(key).alias("_key"),
             F.col(attribute).alias("_attribute"),
             F.col(at).alias("_when"),

@@ -24,8 +24,7 @@ from paywatch.operators.deviation import (
 )
 from paywatch.operators.first_seen import (
     add_first_seen,
-    attach_first_seen,
-    first_seen_lookup,
+    first_seen_split,
     first_seen_windowed,
 )
 from paywatch.operators.heavy import HeavyRule, busy_instants, heavy_keys, split_heavy
@@ -186,8 +185,7 @@ def build_features(
             ordinary = first_seen_windowed(
                 ordinary, SENDER, RECEIVER, "_at", ROW_ID, "is_new_receiver"
             )
-            lookup = first_seen_lookup(heavy_rows, SENDER, RECEIVER, "_at", ROW_ID)
-            heavy = attach_first_seen(heavy, lookup, ROW_ID, "is_new_receiver")
+            heavy = first_seen_split(heavy, SENDER, RECEIVER, "_at", ROW_ID, "is_new_receiver")
         rows = ordinary.unionByName(heavy)
         if HISTORY_30D in specs:
             rows = _with_average(rows)

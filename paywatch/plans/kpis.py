@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paywatch.functions import rate_pct, round_half_up
+from paywatch.functions import rate_pct, round_half_up, rounded_quotient
 from paywatch.operators.daily import dense_domain, fill_days
 
 TIERS = ["HIGH", "MEDIUM", "LOW"]
@@ -29,8 +29,8 @@ def flagged_amount(when_none: int | None) -> Column:
 def mean_amount(condition: Column | None = None) -> Column:
     """Mean amount to two digits, from the exact sum."""
     amount = F.col("amount") if condition is None else F.when(condition, F.col("amount"))
-    mean = F.try_divide(F.sum(amount).cast("double"), F.count(amount))
-    return round_half_up(mean, 2)
+    cents = (F.sum(amount) * 100).cast("decimal(38,0)")
+    return rounded_quotient(cents, F.count(amount) * 100, 2)
 
 
 def flagged_pct(digits: int) -> Column:

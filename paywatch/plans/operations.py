@@ -42,10 +42,15 @@ def of_days(df: DataFrame, first: date, last: date | None = None) -> DataFrame:
     return chosen
 
 
+def _today(df: DataFrame) -> date:
+    """The session's date, which its time zone decides."""
+    return df.sparkSession.sql("SELECT current_date()").head()[0]
+
+
 def high_risk_queue(scored: DataFrame, as_of: date | None = None) -> DataFrame:
     """HIGH payments of one day, today by default, most probable first."""
     return (
-        of_days(scored, as_of or date.today())
+        of_days(scored, as_of or _today(scored))
         .where(F.col("risk_tier") == "HIGH")
         .select(*QUEUE_COLUMNS)
         .orderBy(F.desc("fraud_probability"), F.asc("txn_id"))

@@ -51,9 +51,11 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def _hashed_below(row_id: str, share: float, first_digit: int) -> Column:
-    """True for about `share` of the ids, always the same ones: two hex digits of a hash."""
-    bound = format(round(256 * share), "02x")
-    return F.substring(F.md5(F.col(row_id)), first_digit, 2) < bound
+    """True for about `share` of the ids, always the same ones: eight hex digits of a hash."""
+    if not 0 <= share <= 1:
+        raise ValueError(f"A share lies between 0 and 1: {share}")
+    number = F.conv(F.substring(F.md5(F.col(row_id)), first_digit, 8), 16, 10).cast("bigint")
+    return number < F.lit(round(2**32 * share))
 
 
 def with_split(df: DataFrame, test_share: float = TEST_SHARE, row_id: str = "txn_id") -> DataFrame:
@@ -74,7 +76,7 @@ def split(
 
 def split_validation(train: DataFrame, row_id: str = "txn_id") -> tuple[DataFrame, DataFrame]:
     """(fit, validation): rows to choose rounds and threshold on, apart from the test."""
-    marked = train.withColumn("_held", _hashed_below(row_id, VALIDATION_SHARE, 3))
+    marked = train.withColumn("_held", _hashed_below(row_id, VALIDATION_SHARE, 9))
     return marked.where(~F.col("_held")).drop("_held"), marked.where("_held").drop("_held")
 
 

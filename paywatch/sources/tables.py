@@ -16,13 +16,18 @@ DAY = "txn_date"
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    with_day: bool = False,
 ) -> DataFrame:
     """Read with a fixed schema, bound by name, in the schema's column order.
 
     Spark binds a CSV schema by position, so the header is read first and the
     schema put into its order. Columns the schema does not name are left out;
-    ones it names and the file lacks are an error.
+    ones it names and the file lacks are an error. So are files of one folder whose
+    headers differ, and values that do not have their column's type.
     """
     found = spark.read.option("header", True).format(fmt).load(path)
     header = found.columns
@@ -30,7 +35,8 @@ def read_table(
     if missing:
         raise ValueError(f"{path} lacks columns: {missing}")
     if fmt != "csv":
-        return found.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+        day = [DAY] if with_day and DAY in header else []
+        return found.select(*[F.col(f.name).cast(f.dataType) for f in schema], *day)
 
     known = {field.name: field for field in schema}
     in_file = T.StructType(
@@ -39,6 +45,8 @@ def read_table(
     df = (
         spark.read.option("header", True)
         .option("timestampNTZFormat", CSV_READ_TIME)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .schema(in_file)
         .csv(path)
     )
@@ -61,8 +69,11 @@ def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return read_table(spark, path, FEATURES, fmt)
 
 
-def read_scored(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_table(spark, path, SCORED, fmt)
+def read_scored(
+    spark: SparkSession, path: str, fmt: str = "parquet", with_day: bool = False
+) -> DataFrame:
+    """`with_day` keeps the day folder's column, by which `of_days` prunes folders."""
+    return read_table(spark, path, SCORED, fmt, with_day)
 
 
 def read_importances(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

@@ -2,7 +2,8 @@
 
 Every one is a windowed or keyed aggregate: rows combine before the shuffle and
 the state is one row per group, so a dominant sender is no larger than any other.
-Rows later than the watermark are dropped. Event time is read as UTC.
+Rows later than the watermark are dropped. Event time is read as UTC in
+every session time zone.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paywatch.functions import rate_pct
+from paywatch.functions import micros, rate_pct
 from paywatch.plans.kpis import flagged_amount, flagged_pct
 from paywatch.plans.operations import VELOCITY_THRESHOLD
 
@@ -19,12 +20,14 @@ MONDAY = "4 days"
 
 
 def _timed(stream: DataFrame, delay: str) -> DataFrame:
-    event_time = F.col("timestamp").cast("timestamp")
+    event_time = F.timestamp_micros(micros(F.col("timestamp")))
     return stream.withColumn("_event_time", event_time).withWatermark("_event_time", delay)
 
 
 def _ntz(column: str) -> Column:
-    return F.col(column).cast("timestamp_ntz")
+    """The wall-clock time in UTC, whatever the session's zone."""
+    seconds = (F.unix_micros(F.col(column)).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def daily_trend_stream(scored: DataFrame, delay: str = "1 hour") -> DataFrame:
