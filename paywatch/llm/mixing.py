@@ -26,6 +26,10 @@ from paywatch.session import materialize
 
 #: Leading hex digits of the order hash by which a leaf's prefix is located.
 DIGITS = 4
+#: Digits by which it is located first; a leaf's totals then meet in groups of 16^2 rows.
+COARSE = 2
+#: Leaves up to which their table is broadcast, and parts in which a leaf's documents meet it beyond.
+MOST_SENT, PARTS = 100_000, 64
 WORD = r"[^\x20\x09-\x0D]+"
 LEVELS = ["mix_domain", "mix_lang", "mix_source"]
 
@@ -90,6 +94,26 @@ def order_hash(seed: int, epoch: Column, doc_id: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit(""))))
 
 
+def join_leaves(docs: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Each document with its leaf's row; a large leaf is never gathered in one task."""
+    if leaves.count() <= MOST_SENT:
+        return docs.join(F.broadcast(leaves), LEVELS)
+    copies = leaves.withColumn("mix_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int")
+    return docs.withColumn("mix_part", part).join(copies, [*LEVELS, "mix_part"]).drop("mix_part")
+
+
+def _last_before_rest(sums: DataFrame, bucket: str, offset: Column) -> DataFrame:
+    """The last bucket of each leaf that begins before `mix_rest`, and where it begins."""
+    order = Window.partitionBy(*LEVELS).orderBy(bucket)
+    return (
+        sums.withColumn("begin", offset + F.sum("n").over(order) - F.col("n"))
+        .filter("begin < mix_rest")
+        .groupBy(*LEVELS)
+        .agg(F.max(bucket).alias("mix_last"), F.max("begin").alias("mix_begin"))
+    )
+
+
 def mix(
     docs: DataFrame,
     domain: Column,
@@ -115,28 +139,29 @@ def mix(
     counted = materialize(marked.select("doc_id", *LEVELS, "mix_tokens"), "mix-tokens")
     leaves = counted.groupBy(*LEVELS).agg(F.sum("mix_tokens").alias("tokens"))
     budgets = leaf_budgets(leaves, weights, percent, epochs).filter("budget > 0")
-    budgets = budgets.select(
-        *LEVELS,
-        F.expr("budget DIV tokens").alias("mix_full"),
-        (F.col("budget") % F.col("tokens")).alias("mix_rest"),
+    budgets = materialize(
+        budgets.select(
+            *LEVELS,
+            F.expr("budget DIV tokens").alias("mix_full"),
+            (F.col("budget") % F.col("tokens")).alias("mix_rest"),
+        ),
+        "mix-budgets",
     )
     key = order_hash(seed, F.col("mix_full"), F.col("doc_id"))
     bucket = F.substring(key, 1, DIGITS)
+    # The bucket in which the prefix ends: first by the leading digits, then within those.
     sums = (
-        counted.join(budgets, LEVELS)
-        .groupBy(*LEVELS, "mix_full", "mix_rest", bucket.alias("mix_bucket"))
+        join_leaves(counted, budgets)
+        .groupBy(*LEVELS, "mix_rest", bucket.alias("mix_bucket"))
         .agg(F.sum("mix_tokens").alias("n"))
+        .withColumn("mix_coarse", F.substring("mix_bucket", 1, COARSE))
     )
-    begin = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("mix_bucket")) - F.col("n")
-    # The bucket in which the prefix ends; a leaf has at most 16^DIGITS of them.
-    ends = (
-        sums.withColumn("begin", begin)
-        .filter("begin < mix_rest")
-        .groupBy(*LEVELS)
-        .agg(F.max("mix_bucket").alias("mix_last"), F.max("begin").alias("mix_begin"))
-    )
+    coarse = sums.groupBy(*LEVELS, "mix_rest", "mix_coarse").agg(F.sum("n").alias("n"))
+    coarse = _last_before_rest(coarse, "mix_coarse", F.lit(0).cast("long"))
+    coarse = coarse.select(*LEVELS, F.col("mix_last").alias("mix_coarse"), F.col("mix_begin").alias("mix_offset"))
+    ends = _last_before_rest(sums.join(coarse, [*LEVELS, "mix_coarse"]), "mix_bucket", F.col("mix_offset"))
     plan = materialize(budgets.join(ends, LEVELS, "left"), "mix-plan")
-    known = marked.join(plan, LEVELS).withColumn("mix_key", key).withColumn("mix_bucket", bucket)
+    known = join_leaves(marked, plan).withColumn("mix_key", key).withColumn("mix_bucket", bucket)
     whole = known.withColumn("mix_in", F.coalesce(F.col("mix_bucket") < F.col("mix_last"), F.lit(False)).cast("long"))
     whole = (
         whole.withColumn("mix_copies", F.col("mix_full") + F.col("mix_in"))

@@ -122,6 +122,16 @@ def test_winnowing_finds_every_window(docs, empty, spark):
     assert winnowing.clean(docs, benchmark.limit(0)).count() == len(DOCS)
 
 
+def test_mixture_is_the_same_when_leaves_are_not_broadcast(docs, monkeypatch):
+    def drawn():
+        rows = mixing.mix(docs, F.col("source"), {"lang": {"en": 3}}, percent=70, epochs=2)
+        return sorted(map(repr, rows.select("doc_id", "mix_epoch", "mix_tokens", "mix_taken").collect()))
+
+    whole = drawn()
+    monkeypatch.setattr(mixing, "MOST_SENT", 0)
+    assert drawn() == whole
+
+
 def test_mixture_meets_its_budget(docs, empty):
     drawn = mixing.mix(docs, F.col("source"), {"lang": {"en": 3}}, percent=50, epochs=2).select("mix_taken").toPandas()
     tokens = sum(len((t or "").split()) for _, t, _, _ in DOCS)
