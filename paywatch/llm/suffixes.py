@@ -348,15 +348,19 @@ class Suffixes:
         width = body.shape[1]
         self.prefix = np.zeros((len(body), width + 1), U64)
         np.cumsum(BYTE_VALUES[body] * powers(BASE, width), axis=1, out=self.prefix[:, 1:])
+        self.flat = self.prefix.ravel()
 
     def extension(self, a: np.ndarray, b: np.ndarray, begin: int) -> np.ndarray:
         """Bytes in common from `begin` on, by binary search on equal hashes."""
+        a, b = (rows * self.prefix.shape[1] + begin for rows in (a, b))
+        # Both start at one offset, so the hashes need no shift: where stretches are
+        # equal, the prefix hashes behind them are as far apart as those before them.
+        apart = self.flat.take(a) - self.flat.take(b)
         length = np.zeros(len(a), np.int64)
         step = 1 << (SPAN.bit_length() - 1)
         while step:
             end = np.minimum(length + step, SPAN)
-            # Both start at one offset, so the hashes need no shift.
-            same = self.prefix[a, begin + end] - self.prefix[a, begin] == self.prefix[b, begin + end] - self.prefix[b, begin]
+            same = self.flat.take(a + end) - self.flat.take(b + end) == apart
             length = np.where(same, end, length)
             step >>= 1
         return length
@@ -377,25 +381,28 @@ class Suffixes:
         width = 1
         while len(sizes) and width < sizes.max():
             go = np.flatnonzero(seg_size > width)
-            base, i, size = seg_first[go], local[go], seg_size[go]
+            base, i = seg_first[go], local[go]
             pair = i // (2 * width) * (2 * width)
             left = i - pair < width
-            own = i - pair - np.where(left, 0, width)
-            low = np.where(left, np.minimum(pair + width, size), pair)
-            high = np.where(left, np.minimum(pair + 2 * width, size), np.minimum(pair + width, size))
-            start = low.copy()
-            mine = rows[go]
+            # The right half finds its places in the left half, which fills the rest in order.
+            right = np.flatnonzero(~left)
+            base, pair, own = base[right], pair[right], (i - pair - width)[right]
+            start = base + pair
+            low, high = start.copy(), start + width
+            mine = rows[go[right]]
             while True:
                 live = np.flatnonzero(low < high)
                 if not len(live):
                     break
                 mid = (low[live] + high[live]) // 2
-                sign = self.compare(rows[base[live] + mid], mine[live], begin)
-                before = np.where(left[live], sign < 0, sign <= 0)
+                before = self.compare(rows[mid], mine[live], begin) <= 0
                 low[live] = np.where(before, mid + 1, low[live])
                 high[live] = np.where(before, high[live], mid)
-            place = base + pair + own + (low - start)
-            rows[place] = mine
+            free = np.ones(len(rows), bool)
+            free[low + own] = False
+            others = rows[go[left]]
+            rows[low + own] = mine
+            rows[go[free[go]]] = others
             width *= 2
         return rows
 
