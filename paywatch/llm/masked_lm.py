@@ -3,10 +3,10 @@
 Words are numbered by their counts over the whole corpus: the commonest have numbers
 of their own, all others share the rest by hash. From the words on both sides a
 hidden layer predicts the masked word in two steps, the group of its number and its
-place in the group. Every task trains on the masked positions of its own documents,
-an eighth of them, from common parameters; their means, weighted by positions, are
-the next parameters. A score sums the log-probability of every word of the document,
-each masked in turn.
+place in the group. Every task trains on positions of its own documents from common
+parameters; their means, weighted by positions, are the next parameters. The rounds
+deal out the positions by hash: each is masked and predicted once over all rounds. A
+score sums the log-probability of every word of the document, each masked in turn.
 
 Null and empty texts have 0 words, a sum of 0 and no mean. Rows that repeat are
 trained on and scored each. An empty corpus leaves the first parameters.
@@ -27,7 +27,6 @@ GROUPS, PLACES = 64, 64
 CODES = GROUPS * PLACES
 COMMON = CODES // 2
 HIDDEN, REACH = 16, 2
-MASKED = 8
 ROUNDS, RATE, BATCH = 2, 0.3, 2048
 #: Pieces in which parameters travel, and lanes in which they are first averaged.
 PIECES, LANES = 16, 64
@@ -87,17 +86,27 @@ def contexts(codes: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray
 def _softmax(x: np.ndarray) -> np.ndarray:
     x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
+    x /= x @ np.ones((x.shape[1], 1), x.dtype)
     return x
 
 
+def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the rows that go to each of n places."""
+    order = np.argsort(at.astype(np.int16), kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    out[at[first]] = np.add.reduceat(rows.take(order, 0), first, 0)
+    return out
+
+
 def predict(p: Parameters, near: np.ndarray, target: np.ndarray):
-    seen = p["words"][near]
-    hidden = np.tanh((seen * p["sides"]).sum(1) + p["bias"])
+    seen = p["words"].take(near, 0)
+    hidden = np.tanh(np.einsum("nkh,kh->nh", seen, p["sides"]) + p["bias"])
     group, place = target // PLACES, target % PLACES
     by_group = _softmax(hidden @ p["group"] + p["group_bias"])
-    given = hidden + p["given"][group]
-    by_place = _softmax(given @ p["place"] + p["place_bias"] + p["given_bias"][group])
+    given = hidden + p["given"].take(group, 0)
+    by_place = _softmax(given @ p["place"] + p["place_bias"] + p["given_bias"].take(group, 0))
     return seen, hidden, given, group, place, by_group, by_place
 
 
@@ -115,16 +124,18 @@ def train_step(p: Parameters, near: np.ndarray, target: np.ndarray, rate: float)
     to_given = by_place @ p["place"].T
     to_hidden = (by_group @ p["group"].T + to_given) * (1 - hidden**2)
     to_words = to_hidden[:, None, :] * p["sides"]
-    p["sides"] -= scale * (to_hidden[:, None, :] * seen).sum(0)
+    p["sides"] -= scale * np.einsum("nh,nkh->kh", to_hidden, seen)
     p["bias"] -= scale * to_hidden.sum(0)
     p["group"] -= scale * (hidden.T @ by_group)
     p["group_bias"] -= scale * by_group.sum(0)
     p["place"] -= scale * (given.T @ by_place)
     p["place_bias"] -= scale * by_place.sum(0)
     # Rows of tables are met by few positions each: they take steps 16 times as long.
-    np.subtract.at(p["given"], group, 16 * scale * to_given)
-    np.subtract.at(p["given_bias"], group, 16 * scale * by_place)
-    np.subtract.at(p["words"], near.ravel(), 16 * scale * to_words.reshape(-1, HIDDEN))
+    of_group = np.zeros((GROUPS, len(target)), by_place.dtype)
+    of_group[group, rows] = 16 * scale
+    p["given"] -= of_group @ to_given
+    p["given_bias"] -= of_group @ by_place
+    p["words"] -= 16 * scale * _sums(near.ravel(), to_words.reshape(-1, HIDDEN), CODES + 1)
 
 
 def common_words(docs: DataFrame, text_col: str) -> np.ndarray:
@@ -156,7 +167,7 @@ def _trained(docs: DataFrame, text_col: str, common, start, turn: int) -> DataFr
                 hashes, counts = words(flat[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low], BLANKS)
                 codes = codes_of(hashes, common.value)
                 chance = mix(np.arange(len(codes), dtype=U64) + hashes + U64(bounds[low]))
-                at = np.flatnonzero(chance % U64(MASKED * ROUNDS) == U64(turn))
+                at = np.flatnonzero(chance % U64(ROUNDS) == U64(turn))
                 at = at[np.argsort(chance[at])]
                 near = contexts(codes, row_of(counts), at)
                 for k in range(0, len(at), BATCH):

@@ -174,6 +174,14 @@ def test_pseudo_likelihood_gradient_and_odd_rows(docs, empty):
     assert masked_lm.score(empty, *masked_lm.train(empty)).count() == 0
 
 
+def test_every_position_is_a_target(docs, spark):
+    common, p = masked_lm.common_words(docs, "text"), masked_lm.first_parameters()
+    sent = [spark.sparkContext.broadcast(x) for x in (common, p)]
+    turns = [masked_lm._trained(docs, "text", *sent, turn).where("piece = 0") for turn in range(masked_lm.ROUNDS)]
+    trained = sum(r.weight for turn in turns for r in turn.collect())
+    assert trained == sum(len((t or "").split()) for _, t, _, _ in DOCS)
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((300, 16)).astype(np.float32)
