@@ -8,6 +8,10 @@ parameters; their means, weighted by positions, are the next parameters. The rou
 deal out the positions by hash: each is masked and predicted once over all rounds. A
 score sums the log-probability of every word of the document, each masked in turn.
 
+A word without a number of its own has the probability of its number times its share
+of the number's words, by the counts of the whole corpus, which stay a Spark table met
+by a join. Each count is raised by one, and words never seen have a count of one in all.
+
 Null and empty texts have 0 words, a sum of 0 and no mean. Rows that repeat are
 trained on and scored each. An empty corpus leaves the first parameters.
 """
@@ -22,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paywatch.llm.flat import BLANKS, U64, flatten, mix, row_of, slices, words
+from paywatch.session import materialize
 
 GROUPS, PLACES = 64, 64
 CODES = GROUPS * PLACES
@@ -62,9 +67,13 @@ def parted(flat: np.ndarray) -> Parameters:
     return out
 
 
+def bucket_of(hashes: np.ndarray) -> np.ndarray:
+    return (mix(hashes) % U64(CODES - COMMON)).astype(np.int64)
+
+
 def codes_of(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
     """Number of each word; `common` holds the hashes of the commonest, sorted."""
-    out = COMMON + (mix(hashes) % U64(CODES - COMMON)).astype(np.int64)
+    out = COMMON + bucket_of(hashes)
     if len(common):
         at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
         known = common[at] == hashes
@@ -138,8 +147,8 @@ def train_step(p: Parameters, near: np.ndarray, target: np.ndarray, rate: float)
     p["words"] -= 16 * scale * _sums(near.ravel(), to_words.reshape(-1, HIDDEN), CODES + 1)
 
 
-def common_words(docs: DataFrame, text_col: str) -> np.ndarray:
-    """Hashes of the commonest words, counted over all documents."""
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """word, bucket and n of every word of all documents, by hash."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,11 +157,22 @@ def common_words(docs: DataFrame, text_col: str) -> np.ndarray:
                 words(flat[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], BLANKS)[0] for a, b in slices(bounds)
             ]
             found, n = np.unique(np.concatenate([*hashes, np.zeros(0, U64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.view(np.int64)), pa.array(bucket_of(found)), pa.array(n)], names=["word", "bucket", "n"]
+            )
 
-    counts = docs.select(text_col).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(COMMON).select("word").toArrow()
-    return np.sort(top["word"].to_numpy().view(np.uint64))
+    counts = docs.select(text_col).mapInArrow(count, "word long, bucket long, n long")
+    return counts.groupBy("word", "bucket").agg(F.sum("n").alias("n"))
+
+
+def common_and_rare(counts: DataFrame) -> tuple[np.ndarray, DataFrame]:
+    """Hashes of the commonest words, sorted, and the counts of all others."""
+    top = counts.orderBy(F.desc("n"), "word").limit(COMMON).select("word", "n").toArrow()
+    if not top.num_rows:
+        return np.zeros(0, U64), counts
+    word, n = top["word"][-1].as_py(), top["n"][-1].as_py()
+    rare = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
+    return np.sort(top["word"].to_numpy().view(np.uint64)), rare
 
 
 def _trained(docs: DataFrame, text_col: str, common, start, turn: int) -> DataFrame:
@@ -203,23 +223,51 @@ def average(trained: DataFrame) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(r["body"], np.float32) for r in rows]) if rows else None
 
 
-def train(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, Parameters]:
+def train(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, Parameters, DataFrame]:
+    """The commonest words, the parameters and the counts of all other words."""
     context = docs.sparkSession.sparkContext
-    common = common_words(docs, text_col)
+    common, rare = common_and_rare(materialize(word_counts(docs, text_col), "word-counts"))
     sent, p = context.broadcast(common), first_parameters()
     for turn in range(ROUNDS):
         flat = average(_trained(docs, text_col, sent, context.broadcast(p), turn))
         p = p if flat is None else parted(flat)
-    return common, p
-
-
-def score(docs: DataFrame, common: np.ndarray, p: Parameters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, log_likelihood and mean_log_likelihood of every row."""
-    model = docs.sparkSession.sparkContext.broadcast((common, p))
+    return common, p, rare
+
+
+def unseen_shares(rare: DataFrame) -> np.ndarray:
+    """Log of the share that words never seen have of each bucket."""
+    logs = np.zeros(CODES - COMMON)
+    for row in rare.groupBy("bucket").agg(F.sum(F.col("n") + 1).alias("n")).collect():
+        logs[row.bucket] = -np.log(row.n + 1)
+    return logs
+
+
+def _pairs(hashes: np.ndarray, owner: np.ndarray, rows: int) -> pa.ListArray:
+    """The different words of each row, with how often it has them."""
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    first = np.flatnonzero(new)
+    times = np.diff(first, append=len(order)).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array(hashes[first].view(np.int64)), pa.array(times)], names=["word", "times"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[first], np.arange(rows + 1)), pa.int32()), pairs)
+
+
+def score(
+    docs: DataFrame, common: np.ndarray, p: Parameters, rare: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, n_words, log_likelihood and mean_log_likelihood of every row.
+
+    Tasks give each word outside the commonest the share of one never seen; the join
+    with the counts adds log(n + 1) for those that are known. As none of these words
+    is commoner than the last of the commonest, no join key is hot.
+    """
+    model = docs.sparkSession.sparkContext.broadcast((common, p, unseen_shares(rare)))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, p = model.value
+        common, p, unseen = model.value
         for batch in batches:
             flat, bounds = flatten(batch.column(1))
             for low, high in slices(bounds):
@@ -228,11 +276,20 @@ def score(docs: DataFrame, common: np.ndarray, p: Parameters, id_col: str = "doc
                 for k in range(0, len(codes), 1 << 14):
                     at = np.arange(k, min(k + (1 << 14), len(codes)))
                     logs.append(log_probability(p, contexts(codes, owner, at), codes[at]))
-                total = np.bincount(owner, np.concatenate(logs), len(counts))
+                logs, others = np.concatenate(logs), np.flatnonzero(codes >= COMMON)
+                logs[others] += unseen[codes[others] - COMMON]
+                total = np.bincount(owner, logs, len(counts))
+                pairs = _pairs(hashes[others], owner[others], len(counts))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(counts.astype(np.int64)), pa.array(total)],
-                    names=["doc_id", "n_words", "log_likelihood"],
+                    [batch.column(0).slice(low, high - low), pa.array(counts.astype(np.int64)), pa.array(total), pairs],
+                    names=["doc_id", "n_words", "log_likelihood", "pairs"],
                 )
 
-    out = docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, n_words long, log_likelihood double")
+    schema = f"doc_id {kind}, n_words long, log_likelihood double, pairs array<struct<word:long,times:int>>"
+    scored = docs.select(id_col, text_col).mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
+    scored = materialize(scored, "word-scores")
+    known = scored.selectExpr("row", "inline(pairs)").join(rare.select("word", "n"), "word")
+    known = known.groupBy("row").agg(F.sum(F.col("times") * F.log(F.col("n") + 1.0)).alias("known"))
+    total = F.col("log_likelihood") + F.coalesce("known", F.lit(0.0))
+    out = scored.drop("pairs").join(known, "row", "left").select("doc_id", "n_words", total.alias("log_likelihood"))
     return out.withColumn("mean_log_likelihood", F.expr("log_likelihood / nullif(n_words, 0)"))

@@ -9,6 +9,7 @@ from brute import cut_repeats
 from pyspark.sql import functions as F
 
 from paywatch.llm import curves, masked_lm, mixing, quality, slots, suffixes, superminhash, token_files, url_filter, winnowing
+from paywatch.llm.flat import BLANKS, words
 from paywatch.llm.queries import URL_RULES
 
 PROSE = [f"word{i} and the {i * 7 % 13} other thing{i % 5}" for i in range(60)]
@@ -175,13 +176,40 @@ def test_pseudo_likelihood_gradient_and_odd_rows(docs, empty):
 
 
 def test_every_position_is_a_target(docs, spark):
-    common, p = masked_lm.common_words(docs, "text"), masked_lm.first_parameters()
+    common, p = masked_lm.common_and_rare(masked_lm.word_counts(docs))[0], masked_lm.first_parameters()
     sent = [spark.sparkContext.broadcast(x) for x in (common, p)]
     turns = [masked_lm._trained(docs, "text", *sent, turn).where("piece = 0") for turn in range(masked_lm.ROUNDS)]
     trained = sum(r.weight for turn in turns for r in turn.collect())
     assert trained == sum(len((t or "").split()) for _, t, _, _ in DOCS)
 
 
+def test_rare_words_share_their_bucket_by_counts(spark):
+    often = {f"w{i}": 9 if i < masked_lm.COMMON else 1 + i % 3 for i in range(masked_lm.COMMON + 3000)}
+    docs = spark.createDataFrame([(i, f"{w} " * n) for i, (w, n) in enumerate(often.items())], "doc_id long, text string")
+    common, p, rare = masked_lm.train(docs)
+
+    def code(word):
+        flat = np.frombuffer(word.encode(), np.uint8)
+        return int(masked_lm.codes_of(words(flat, np.array([0, len(flat)]), BLANKS)[0], common)[0])
+
+    bucket = code(f"w{masked_lm.COMMON}")
+    met = {w: n for w, n in often.items() if code(w) == bucket}
+    junk = next(w for w in (f"junk{i}" for i in range(100000)) if code(w) == bucket)
+    asked = [*met, junk, "w0", f"{junk} w0 {junk} w{masked_lm.COMMON}"]
+    got = masked_lm.score(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), common, p, rare)
+    got = {r.doc_id: r.log_likelihood for r in got.collect()}
+    near, whole = np.full((1, 2 * masked_lm.REACH), masked_lm.CODES), sum(n + 1 for n in met.values()) + 1
+    for i, word in enumerate(asked[:-2]):
+        share = np.log((met.get(word, 0) + 1) / whole)
+        assert got[i] == pytest.approx(masked_lm.log_probability(p, near, np.array([bucket]))[0] + share)
+    assert sum(np.exp(got[i] - got[0]) for i in range(len(met) + 1)) == pytest.approx(whole / (met[asked[0]] + 1))
+    assert got[len(met) + 1] == pytest.approx(masked_lm.log_probability(p, near, np.array([code("w0")]))[0])
+    codes = np.array([code(w) for w in asked[-1].split()])
+    plain = masked_lm.log_probability(p, masked_lm.contexts(codes, np.zeros(4, int), np.arange(4)), codes).sum()
+    shares = 2 * np.log(1 / whole) + np.log((met[asked[0]] + 1) / whole)
+    assert got[len(asked) - 1] == pytest.approx(plain + shares)
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((300, 16)).astype(np.float32)
