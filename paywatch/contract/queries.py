@@ -51,7 +51,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 # sender of more than one row takes the split forms.
 SPLIT_MOST = HeavyRule(floor=1)
 QUEUE_DAY = date(2024, 1, 1)
-FEW_ROUNDS = 8
 
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -294,7 +293,7 @@ def logistic_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def trees_scores(spark: SparkSession, folder: str) -> DataFrame:
     train, test = training.split(_inputs(spark, folder))
-    model = training.train_trees(*training.split_validation(train), rounds=FEW_ROUNDS)
+    model = training.train_trees(*training.split_validation(train))
     path = scratch_path(spark, "trees")
     training.save_model(model, path)
     return score(test, training.load_model(path))
@@ -302,14 +301,14 @@ def trees_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def tree_importances(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = training.split(_inputs(spark, folder))
-    model = training.train_trees(*training.split_validation(train), rounds=FEW_ROUNDS)
+    model = training.train_trees(*training.split_validation(train))
     path = scratch_path(spark, "importances")
     write_table(training.importances(spark, model), path, "csv")
     return read_importances(spark, path).orderBy(F.desc("importance_gain"), "feature")
 
 
 def model_report(spark: SparkSession, folder: str) -> DataFrame:
-    report = training.train_and_compare(features(spark, folder), rounds=FEW_ROUNDS).report
+    report = training.train_and_compare(features(spark, folder)).report
     path = scratch_path(spark, "report")
     write_table(report, path, "csv")
     return read_table(spark, path, report.schema, "csv")

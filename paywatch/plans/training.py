@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,6 +145,23 @@ def rounds_to_keep(losses: Sequence[float], patience: int = PATIENCE) -> int:
     return best + 1
 
 
+def first_trees(model: PipelineModel, kept: int) -> PipelineModel:
+    """The fitted model cut to its first trees."""
+    *before, trees = model.stages
+    gateway, old = SparkContext._gateway, trees._java_obj
+    ml = gateway.jvm.org.apache.spark.ml
+    cut = gateway.new_array(ml.regression.DecisionTreeRegressionModel, kept)
+    weights = gateway.new_array(gateway.jvm.double, kept)
+    fitted, steps = old.trees(), old.treeWeights()
+    for i in range(kept):
+        cut[i], weights[i] = fitted[i], steps[i]
+    new = ml.classification.GBTClassificationModel(
+        trees.uid, cut, weights, trees.numFeatures, trees.numClasses
+    )
+    old.copyValues(new, old.extractParamMap())
+    return PipelineModel([*before, GBTClassificationModel._from_java(new)])
+
+
 def train_trees(
     train: DataFrame,
     validation: DataFrame,
@@ -152,8 +170,7 @@ def train_trees(
 ) -> PipelineModel:
     """Boosted trees; the number of rounds kept is the best on the validation rows.
 
-    The seed fixes each round's samples, so fitting again with fewer rounds gives
-    the same first trees.
+    All rounds are fitted once, and the model is cut to its first trees.
     """
     require_columns(train)
     train, validation = _complete(train), _complete(validation)
@@ -164,7 +181,7 @@ def train_trees(
     model = _trees(rounds).fit(weighted)
     held = model.stages[0].transform(validation.withColumn("_weight", weight))
     kept = rounds_to_keep(model.stages[-1].evaluateEachIteration(held))
-    return model if kept == rounds else _trees(kept).fit(weighted)
+    return model if kept == rounds else first_trees(model, kept)
 
 
 def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:

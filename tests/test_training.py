@@ -55,6 +55,31 @@ def test_rounds_to_keep():
     assert training.rounds_to_keep([1]) == 1
 
 
+def test_model_cut_to_its_first_trees(inputs, trained, tmp_path):
+    _, trees, test = trained
+    rounds = trees.stages[-1].getNumTrees
+    kept = max(rounds - 2, 1)
+    cut = training.first_trees(trees, kept)
+    assert cut.stages[-1].getNumTrees == kept
+    assert cut.stages[-1].treeWeights == trees.stages[-1].treeWeights[:kept]
+    strings = [t.toDebugString.split("\n", 1)[1] for t in cut.stages[-1].trees]
+    assert strings == [t.toDebugString.split("\n", 1)[1] for t in trees.stages[-1].trees[:kept]]
+    training.save_model(cut, str(tmp_path / "cut"))
+    again = training.load_model(str(tmp_path / "cut"))
+    assert score(test, cut).orderBy("txn_id").collect() == score(test, again).orderBy("txn_id").collect()
+
+
+@pytest.mark.parametrize("query", [queries.trees_scores, queries.tree_importances, queries.model_report])
+def test_registered_queries_fit_all_rounds(spark, monkeypatch, query):
+    def asked(rounds):
+        raise RuntimeError(f"{rounds} rounds")
+
+    monkeypatch.setattr(training, "_trees", asked)
+    monkeypatch.setattr(training, "train_logistic", lambda train: None)
+    with pytest.raises(RuntimeError, match=f"{training.ROUNDS} rounds"):
+        query(spark, "/root/testdata/sf0.001")
+
+
 def test_models_rank_well(trained):
     logistic, trees, test = trained
     first = ranking_measures(score(test, logistic)).head().roc_auc
