@@ -13,8 +13,9 @@ lies. Clustered vectors give narrow windows; vectors without any structure give
 windows that cover most rows, and the search then costs as much as brute force.
 
 Equal vectors are one point on the curves and are expanded at the end, smallest ids
-first. Vectors that are null, zero, of another length than the longest, or hold null
-or non-finite components take no part. Rows that repeat an id count as one.
+first. Vectors that are null, zero, or hold null or non-finite components take no part.
+Vectors of one length are searched by themselves, one length after the other. Rows that
+repeat an id count as one.
 """
 
 from __future__ import annotations
@@ -96,9 +97,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.col(vector_col).cast("array<double>")
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter("id IS NOT NULL AND size(v) > 0")
-    rows = rows.filter(sound & F.exists("v", lambda x: x != 0))
-    longest = rows.agg(F.max(F.size("v"))).first()[0] or 0
-    return rows.filter(F.size("v") == longest)
+    return rows.filter(sound & F.exists("v", lambda x: x != 0))
 
 
 def top_of(scores: np.ndarray, k: int) -> np.ndarray:
@@ -113,9 +112,21 @@ def nearest(vectors: DataFrame, every: int, k: int = 20, id_col: str = "vec_id",
     """query_id, rank, vec_id and score (inner product) of the k nearest of each query.
 
     Queries are the rows whose id is divisible by `every`."""
-    spark = vectors.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
     rows = materialize(usable(vectors, id_col, vector_col).dropDuplicates(["id"]), "vectors")
+    length = F.size("v")
+    asked = F.count_if(F.col("id") % every == 0)
+    lengths = rows.groupBy(length.alias("n")).agg(F.count("*").alias("rows"), asked.alias("asked"))
+    lengths = [r.n for r in lengths.filter("rows > 1 AND asked > 0").orderBy("n").collect()]
+    out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for n in lengths:
+        found = _nearest(rows.filter(length == n), every, k)
+        out = found if n == lengths[0] else out.unionByName(found)
+    return out
+
+
+def _nearest(rows: DataFrame, every: int, k: int) -> DataFrame:
+    """The k nearest of each query among vectors of one length."""
+    spark = rows.sparkSession
     # One point per distinct vector, with the ids that an answer could need.
     nth = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     members = rows.withColumn("nth", nth).filter(F.col("nth") <= k + 1)
@@ -123,8 +134,6 @@ def nearest(vectors: DataFrame, every: int, k: int = 20, id_col: str = "vec_id",
         members.groupBy("v").agg(F.min("id").alias("point"), F.sort_array(F.collect_list("id")).alias("ids")), "points"
     )
     n = points.count()
-    if n == 0:
-        return spark.createDataFrame([], schema)
     share = F.pmod(F.xxhash64("point"), F.lit(1 << 30)) < min(1 << 30, int((1 << 30) * FIT_ROWS / n))
     sample = np.array([r[0] for r in points.filter(share).select("v").limit(2 * FIT_ROWS).collect()], np.float64)
     curves = Curves(sample if len(sample) else np.ones((1, len(points.select("v").first()[0]))))
@@ -157,7 +166,8 @@ def nearest(vectors: DataFrame, every: int, k: int = 20, id_col: str = "vec_id",
 
     asked = rows.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), "v")
     asked = asked.join(points.select("v", "point"), "v")
-    window = fit_window(asked, points, ranks, n, k)
+    # At the end of a curve, too, the window holds k others.
+    window = max(fit_window(asked, points, ranks, n, k), k + 1)
     near = visit(asked, points, ranks, window, k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "point")
     near = near.groupBy("query_id", "point").agg(F.max("score").alias("score"))

@@ -225,3 +225,20 @@ def test_neighbours_against_brute_force(spark):
         hits += len(set(order) & set(mine.vec_id))
     assert hits >= 0.9 * 15 * 20 and set(got.query_id) == set(range(0, 300, 20))
     assert curves.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), every=20).count() == 0
+
+
+def test_few_rows_see_all_others(spark):
+    rows = spark.createDataFrame([(i, [float(i + 1)]) for i in range(21)], "vec_id long, embedding array<double>")
+    got = curves.nearest(rows, every=1, k=20).toPandas()
+    assert len(got) == 21 * 20 and not got.duplicated(["query_id", "vec_id"]).any()
+
+
+def test_neighbours_within_each_length(spark):
+    rng = np.random.default_rng(4)
+    lengths = [4] * 30 + [9] + [2] * 5
+    x = [rng.standard_normal(n) for n in lengths]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = curves.nearest(rows, every=1, k=20).toPandas()
+    assert got.groupby("query_id").size().to_dict() == {i: 20 if n == 4 else 4 for i, n in enumerate(lengths) if n != 9}
+    for r in got.itertuples():
+        assert r.score == pytest.approx(x[r.query_id] @ x[r.vec_id])
