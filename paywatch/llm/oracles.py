@@ -159,10 +159,35 @@ FROM docs d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN found f ON f.doc_id
 """
 
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+    SELECT a.id AS anchor_id, r.id, a.label = r.label AS same,
+           list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * r.v[i]))::BIGINT AS score
+    FROM vectors a JOIN vectors r ON a.id <> r.id WHERE a.id % 100 = 0
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_url_filter": URL,
         "op4_superminhash": NEAR_DUPLICATES,
         "op7_winnowing": WINNOWING,
         "op9_source_mixing": MIXING,
+        "op12_hard_negatives": HARD_NEGATIVES,
     }

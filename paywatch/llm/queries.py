@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywatch.llm import curves, masked_lm, mixing, quality, slots, suffixes, superminhash, token_files, url_filter, winnowing
+from paywatch.llm import (
+    curves,
+    hard_negatives,
+    masked_lm,
+    mixing,
+    quality,
+    simhash,
+    slots,
+    suffixes,
+    superminhash,
+    token_files,
+    url_filter,
+    whitening,
+    winnowing,
+)
 from paywatch.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +106,20 @@ def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.digest(suffixes.cut(table(spark, folder, "documents")))
 
 
+def close_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.groups(table(spark, folder, "documents"), radius=4)
+
+
+def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, every=100, positives=5, negatives=5, low_percent=80, high_percent=100, scale=256)
+
+
+def whitened(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"), most=32, scale=64, shift=1_000_000)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,4 +139,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_masked_likelihood": pseudo_likelihoods,
         "op9_source_mixing": mixed,
         "op10_suffix_dedup": repeated_passages,
+        "op11_simhash_tiles": close_fingerprints,
+        "op12_hard_negatives": mined_negatives,
+        "op13_whitening": whitened,
     }
