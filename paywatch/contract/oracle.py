@@ -575,11 +575,17 @@ def all_oracles() -> dict[str, str]:
         "week_start + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR",
         "z2_rolling_rate_stream": ROLLING_STREAM,
         "z3_velocity_alerts_stream": ALERTS,
+        "z3_payment_velocity_stream": on_scored("SELECT txn_id, sender_txn_velocity_1h FROM features"),
+        "z3_payment_alerts_stream": on_scored(
+            'SELECT txn_id, "timestamp", sender_vpa, sender_txn_velocity_1h AS sender_txn_velocity '
+            "FROM features WHERE sender_txn_velocity_1h > 1"
+        ),
         "z4_scored_stream": on_scored(
             "SELECT txn_id, fraud_probability, fraud_flag, risk_tier FROM scored"
         ),
         "z5_first_payments_stream": on_scored(
             'SELECT sender_vpa, receiver_vpa, "timestamp", txn_id FROM features WHERE is_new_receiver = 1'
         ),
+        "z5_new_pairs_stream": on_scored("SELECT DISTINCT sender_vpa, receiver_vpa FROM raw"),
     }
     return found

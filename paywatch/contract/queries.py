@@ -39,6 +39,9 @@ from paywatch.streaming import (
     daily_trend_stream,
     first_payments_stream,
     latest_to_table,
+    new_pairs_stream,
+    payment_alerts_stream,
+    payment_velocity_stream,
     read_stream,
     rolling_rate_stream,
     velocity_alerts_stream,
@@ -343,6 +346,20 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return append_to_table(alerts, "alerts")
 
 
+def stream_velocity(spark: SparkSession, folder: str) -> DataFrame:
+    counted = append_to_table(payment_velocity_stream(_raw_stream(spark, folder)), "velocity")
+    return counted.select("txn_id", F.col("sender_txn_velocity").alias("sender_txn_velocity_1h"))
+
+
+def stream_payment_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    return append_to_table(payment_alerts_stream(_raw_stream(spark, folder), threshold=1), "payment-alerts")
+
+
+def stream_new_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    # Longer than the table's span, so that a pair is new once.
+    return append_to_table(new_pairs_stream(_raw_stream(spark, folder), "3650 days"), "new-pairs")
+
+
 def stream_scores(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["txn_id", "fraud_probability", "fraud_flag", "risk_tier"]
     return append_to_table(_scored_stream(spark, folder).select(*columns), "stream-scores")
@@ -461,7 +478,10 @@ def all_queries() -> dict[str, Query]:
         "z1_weekly_rate_stream": _stream(weekly_rate_stream, "weekly"),
         "z2_rolling_rate_stream": _stream(rolling_rate_stream, "rolling"),
         "z3_velocity_alerts_stream": stream_alerts,
+        "z3_payment_velocity_stream": stream_velocity,
+        "z3_payment_alerts_stream": stream_payment_alerts,
         "z4_scored_stream": stream_scores,
         "z5_first_payments_stream": stream_first_payments,
+        "z5_new_pairs_stream": stream_new_pairs,
     }
     return found

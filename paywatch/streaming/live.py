@@ -24,9 +24,10 @@ def _timed(stream: DataFrame, delay: str) -> DataFrame:
     return stream.withColumn("_event_time", event_time).withWatermark("_event_time", delay)
 
 
-def _ntz(column: str) -> Column:
+def _ntz(column: str | Column) -> Column:
     """The wall-clock time in UTC, whatever the session's zone."""
-    seconds = (F.unix_micros(F.col(column)).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    time = F.col(column) if isinstance(column, str) else column
+    seconds = (F.unix_micros(time).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
     return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
@@ -117,3 +118,17 @@ def first_payments_stream(transactions: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("timestamp", "txn_id")).alias("_first"))
         .select("sender_vpa", "receiver_vpa", "_first.timestamp", "_first.txn_id")
     )
+
+
+def new_pairs_stream(transactions: DataFrame, memory: str = "30 days") -> DataFrame:
+    """(sender, receiver) pairs not seen within `memory` before; for append mode.
+
+    The bounded form of `first_payments_stream`: a pair's state goes once the watermark
+    has passed its first payment by `memory`, so the state holds the pairs of that time
+    only. A pair that comes again after it counts as new once more.
+    """
+    return (
+        _timed(transactions, memory)
+        .dropDuplicatesWithinWatermark(["sender_vpa", "receiver_vpa"])
+        .select("sender_vpa", "receiver_vpa")
+    )

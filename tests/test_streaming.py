@@ -6,13 +6,16 @@ from conftest import column
 from pyspark.sql import functions as F
 
 from paywatch.plans import kpis
-from paywatch.plans.features import add_new_receiver
+from paywatch.plans.features import add_new_receiver, build_features
 from paywatch.schema import RAW
 from paywatch.streaming import (
     append_to_table,
     daily_trend_stream,
     first_payments_stream,
     latest_to_table,
+    new_pairs_stream,
+    payment_alerts_stream,
+    payment_velocity_stream,
     read_stream,
     velocity_alerts_stream,
     weekly_rate_stream,
@@ -103,3 +106,63 @@ def test_daily_stream_and_batch_name_the_same_columns(arriving, payments):
     batch = kpis.daily_trend(flagged(payments(hour(1, 1))))
     assert stream.columns == batch.columns
     assert [f.dataType for f in stream.schema] == [f.dataType for f in batch.schema]
+
+
+def ordered(days=2, senders=3, seed=1):
+    """Payments in the order of their times, with bursts, ties and a sender who falls silent."""
+    import random
+
+    dice, t, rows = random.Random(seed), datetime(2024, 1, 1), []
+    while t < datetime(2024, 1, 1 + days):
+        sender = dice.randrange(senders)
+        if not (sender == 0 and t.day > 1):
+            rows += [{"sender_vpa": f"s{sender}" if sender else None, "timestamp": t}] * dice.choice([1, 1, 1, 3])
+        t += timedelta(seconds=dice.choice([0, 0, 7, 400, 1500]), microseconds=dice.choice([0, 1]))
+    return rows
+
+
+@pytest.mark.parametrize("bucket", [7_000_000, 60_000_000, 3_600_000_000, 10_000_000_000])
+def test_payment_velocity_equals_the_batch_feature(arriving, payments, bucket):
+    rows = ordered()
+    size = len(rows) // 6 + 1
+    stream = payment_velocity_stream(arriving(*[rows[i : i + size] for i in range(0, len(rows), size)]), bucket=bucket)
+    got = {r.txn_id: r.sender_txn_velocity for r in append_to_table(stream, "velocity").collect()}
+    batch = build_features(payments(*rows), ["sender_txn_velocity_1h"])
+    # A batch's ties may be cut in two: those of the later batch still do not count each other.
+    assert got == {r.txn_id: r.sender_txn_velocity_1h for r in batch.collect()} and max(got.values()) > 5
+
+
+def test_payment_velocity_keeps_a_bounded_state(spark, arriving, tmp_path):
+    rows = ordered(days=4)
+    size = len(rows) // 8 + 1
+    stream = arriving(*[rows[i : i + size] for i in range(0, len(rows), size)], [{"sender_vpa": "late", "timestamp": datetime(2024, 2, 1)}],
+                      [{"sender_vpa": "later", "timestamp": datetime(2024, 3, 1)}])
+    path = str(tmp_path / "counted")
+    minutes = 5
+    append_to_table(payment_velocity_stream(stream, bucket=minutes * 60_000_000), "velocity", path)
+    state = spark.read.format("statestore").option("stateVarName", "buckets").load(f"{path}-progress")
+    held = state.groupBy("key.sender_vpa").count().collect()
+    # The silent senders' state is gone, by timer; the last ones hold a bucket each.
+    assert {r.sender_vpa for r in held} <= {"late", "later"} and all(r["count"] <= (60 + 10) // minutes + 2 for r in held)
+
+
+def test_payment_alert_comes_in_the_batch_of_the_payment(arriving, spark, tmp_path):
+    start = datetime(2024, 1, 1, 12)
+    burst = [{"sender_vpa": "fast", "timestamp": start + timedelta(seconds=i)} for i in range(12)]
+    late = {"sender_vpa": "fast", "timestamp": start - timedelta(minutes=5)}
+    stream = payment_alerts_stream(arriving(burst[:6], burst[6:], [late, burst[11]]))
+    got = append_to_table(stream, "alerts").orderBy("txn_id").collect()
+    # The 12th payment has 11 before it; its repeat in the last batch also counts the late one.
+    assert [(r.txn_id, r.sender_txn_velocity) for r in got] == [("T0011", 11), ("T0013", 12)]
+
+
+def test_payment_velocity_refuses_empty_buckets(arriving):
+    with pytest.raises(ValueError):
+        payment_velocity_stream(arriving([hour(1, 1)]), bucket=0)
+
+
+def test_new_pairs_are_forgotten_after_their_time(arriving):
+    pair = {"sender_vpa": "a", "receiver_vpa": "x"}
+    stream = arriving([pair | hour(1, 0)], [pair | hour(1, 5)], [{"sender_vpa": "b"} | hour(9, 0)], [{"sender_vpa": "c"} | hour(9, 1)], [pair | hour(9, 2)])
+    got = sorted(r.sender_vpa for r in append_to_table(new_pairs_stream(stream, "2 days"), "pairs").collect())
+    assert got == ["a", "a", "b", "c"]
