@@ -260,6 +260,9 @@ SWEEP = f"""
     )"""
 
 
+LOOKUP = 'txn_id, "timestamp", sender_vpa, amount, fraud_probability, fraud_flag, risk_tier'
+
+
 def best(j: str) -> str:
     return f"""{ON_EVENTS}, {SWEEP},
     ranked AS (SELECT threshold, {j} AS j FROM sweep WHERE tp + fp > 0),
@@ -369,6 +372,15 @@ def all_oracles() -> dict[str, str]:
         "s7_pruned_day": on_scored(
             f"SELECT {QUEUE} FROM scored WHERE risk_tier = 'HIGH' AND {DAY_ONE}"
         ),
+        "s7_sender_lookup": on_scored(f"SELECT {LOOKUP} FROM scored WHERE sender_vpa = 'user7@upi'"),
+        "s7_tier_lookup": on_scored(f"SELECT {LOOKUP} FROM scored WHERE risk_tier = 'MEDIUM'"),
+        "s7_flagged_lookup": on_scored(f"SELECT {LOOKUP} FROM scored WHERE fraud_flag = 1"),
+        "s8_e7_saved_decision": f"""{ON_EVENTS}, {SWEEP},
+            ranked AS (SELECT threshold, prec + rec - 1 AS j FROM sweep WHERE tp + fp > 0),
+            top AS (SELECT threshold FROM ranked WHERE j > 0 ORDER BY j DESC, threshold LIMIT 1)
+            SELECT txn_id, fraud_probability,
+                   CAST(fraud_probability >= coalesce((SELECT threshold FROM top), 0.5) AS INTEGER) AS fraud_flag, risk_tier
+            FROM scored""",
         "s10_transactions": on_scored(f"SELECT {RAW_LIST} FROM raw"),
         "s10_transactions_orders": f"WITH {ROWS_ORDERS} SELECT {RAW_LIST} FROM raw",
         "p1_p9_top_high_risk": on_scored(
@@ -569,6 +581,10 @@ def all_oracles() -> dict[str, str]:
         "m2_split": on_scored(
             "SELECT txn_id, CAST(substr(md5(txn_id), 1, 8) < '33333333' AS INTEGER) AS is_test FROM raw"
         ),
+        "m2_stratified_split": on_scored(
+            "SELECT txn_id, CAST(row_number() OVER (PARTITION BY is_fraud ORDER BY md5(txn_id)) "
+            "<= floor(count(*) OVER (PARTITION BY is_fraud) * 0.2 + 0.5) AS INTEGER) AS is_test FROM raw"
+        ),
         "z1_daily_trend_stream": f"SELECT * FROM ({DAILY}) WHERE "
         "txn_date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR",
         "z1_weekly_rate_stream": f"SELECT * FROM ({WEEKLY}) WHERE "

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from paywatch.functions import micros, ratio, risk_tier, round_half_up
 from paywatch.operators import HeavyRule, add_trailing
 from paywatch.operators.deviation import attach_zscore, zscore_lookup
 from paywatch.plans import evaluation, exploration, kpis, operations, training
+from paywatch.plans.decision import RiskDecision
 from paywatch.plans.features import (
     AMOUNT,
     HISTORY_30D,
@@ -26,12 +28,14 @@ from paywatch.session import materialize, scratch_path
 from paywatch.sources import (
     read_features,
     read_importances,
+    read_lookup_table,
     read_raw,
     read_scored,
     read_table,
     register_transactions,
     transactions_from_events,
     transactions_from_orders,
+    write_lookup_table,
     write_table,
 )
 from paywatch.streaming import (
@@ -121,6 +125,21 @@ def pruned_day(spark: SparkSession, folder: str) -> DataFrame:
     return operations.high_risk_queue(read_scored(spark, path, with_day=True), QUEUE_DAY)
 
 
+LOOKUP_COLUMNS = ["txn_id", "timestamp", "sender_vpa", "amount", "fraud_probability", "fraud_flag", "risk_tier"]
+LOOKUP_SENDER = "user7@upi"
+
+
+def lookup(choose: Callable[[DataFrame], DataFrame]) -> Query:
+    """Rows found in a table laid out for look-ups."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = scratch_path(spark, "lookup")
+        write_lookup_table(rule_score(features(spark, folder)), path)
+        return choose(read_lookup_table(spark, path)).select(*LOOKUP_COLUMNS)
+
+    return run
+
+
 def sql_view(spark: SparkSession, folder: str) -> DataFrame:
     register_transactions(scored(spark, folder), "transactions")
     return spark.sql(
@@ -321,6 +340,20 @@ def split_marks(spark: SparkSession, folder: str) -> DataFrame:
     return training.with_split(raw(spark, folder)).select("txn_id", "is_test")
 
 
+def stratified_marks(spark: SparkSession, folder: str) -> DataFrame:
+    rows = materialize(raw(spark, folder).select("txn_id", LABEL), "labelled")
+    return training.with_stratified_split(rows).select("txn_id", "is_test")
+
+
+def saved_decision(spark: SparkSession, folder: str) -> DataFrame:
+    """The threshold tuned on the rule's score, saved, loaded and used."""
+    rows = materialize(scored(spark, folder).select("txn_id", LABEL, "fraud_probability"), "rule-scores")
+    threshold = evaluation.best_threshold(evaluation.threshold_sweep(rows)).head().threshold
+    path = scratch_path(spark, "decision")
+    training.save_model(PipelineModel([RiskDecision(threshold=threshold, probabilityCol="fraud_probability")]), path)
+    return training.load_model(path).transform(rows).select("txn_id", "fraud_probability", "fraud_flag", "risk_tier")
+
+
 # --- streams -------------------------------------------------------------------
 
 
@@ -377,6 +410,10 @@ def all_queries() -> dict[str, Query]:
         "s3_s7_scored_by_day": scored_by_day,
         "s6_sql_view": sql_view,
         "s7_pruned_day": pruned_day,
+        "s7_sender_lookup": lookup(lambda df: operations.of_sender(df, LOOKUP_SENDER)),
+        "s7_tier_lookup": lookup(lambda df: operations.of_tier(df, "MEDIUM")),
+        "s7_flagged_lookup": lookup(operations.flagged),
+        "s8_e7_saved_decision": saved_decision,
         "s10_transactions": raw,
         "s10_transactions_orders": orders,
         "p1_p9_top_high_risk": _kpi(operations.top_high_risk),
@@ -470,6 +507,7 @@ def all_queries() -> dict[str, Query]:
             training.class_weights(raw(s, d)), "scale_pos_weight"
         ),
         "m2_split": split_marks,
+        "m2_stratified_split": stratified_marks,
         "m3_m7_logistic_scores": logistic_scores,
         "m5_s8_trees_scores": trees_scores,
         "m8_s4_importances": tree_importances,

@@ -4,19 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def fill_days(daily: DataFrame, day: str, *values: str) -> DataFrame:
     """Add the missing days between the first and the last, with 0 in `values`.
 
-    `daily` holds one row per day, so everything here is as small as the calendar.
+    `daily` holds one row per day, so the window is as small as the calendar. Each day
+    brings the empty days up to the next one, so the input is read once. Rows without
+    a day are left out.
     """
-    span = daily.agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    days = span.select(F.explode(F.sequence("first", "last")).alias(day))
-    zero = {name: F.coalesce(F.col(name), F.lit(0).cast(daily.schema[name].dataType)) for name in values}
-    return days.join(daily, day, "left").withColumns(zero)
+    known = daily.where(F.col(day).isNotNull())
+    following = F.coalesce(F.date_sub(F.lead(day).over(Window.orderBy(day)), 1), F.col(day))
+    names = [name for name in daily.columns if name != day]
+    rows = known.withColumn("_last", following).select(
+        F.col(day).alias("_day"), *names, F.explode(F.sequence(F.col(day), F.col("_last"))).alias(day)
+    )
+    came = F.col(day) == F.col("_day")
+    kept = {name: F.when(came, F.col(name)) for name in names}
+    kept |= {name: F.coalesce(kept[name], F.lit(0).cast(daily.schema[name].dataType)) for name in values}
+    return rows.withColumns(kept).select(day, *names)
 
 
 def dense_domain(df: DataFrame, column: str, members: Sequence[str]) -> DataFrame:

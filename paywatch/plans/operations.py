@@ -42,6 +42,21 @@ def of_days(df: DataFrame, first: date, last: date | None = None) -> DataFrame:
     return chosen
 
 
+def of_sender(df: DataFrame, sender: str) -> DataFrame:
+    """One sender's rows. On a lookup table row groups that cannot hold the sender are skipped."""
+    return df.where(F.col("sender_vpa") == sender)
+
+
+def of_tier(df: DataFrame, tier: str) -> DataFrame:
+    """Rows of one risk tier. On a lookup table the other tiers' folders are skipped."""
+    return df.where(F.col("risk_tier") == tier)
+
+
+def flagged(df: DataFrame) -> DataFrame:
+    """Flagged rows. On a lookup table row groups without one are skipped."""
+    return df.where(F.col("fraud_flag") == 1)
+
+
 def _today(df: DataFrame) -> date:
     """The session's date, which its time zone decides."""
     return df.sparkSession.sql("SELECT current_date()").head()[0]

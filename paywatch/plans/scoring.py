@@ -5,16 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paywatch.functions import present, rate_pct, risk_tier
+from paywatch.functions import rate_pct
+from paywatch.plans.decision import DEFAULT_THRESHOLD, decided, with_risk
 from paywatch.schema import FEATURE_COLUMNS
 
-# Fixed value: probability from which a transaction is flagged.
-DEFAULT_THRESHOLD = 0.50
-
 # What `rule_score` reads of the derived features.
 RULE_INPUTS = ("is_new_receiver", "is_night_txn")
 
@@ -26,18 +23,6 @@ def require_columns(df: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS) ->
         raise ValueError(f"Missing feature columns: {missing}")
 
 
-def with_risk(
-    df: DataFrame, probability: Column, threshold: float = DEFAULT_THRESHOLD
-) -> DataFrame:
-    """Add probability, flag (inclusive threshold) and tier; NaN counts as no probability."""
-    return df.withColumn("fraud_probability", present(probability)).withColumns(
-        {
-            "fraud_flag": F.when(F.col("fraud_probability") >= threshold, 1).otherwise(0),
-            "risk_tier": risk_tier(F.col("fraud_probability")),
-        }
-    )
-
-
 def rule_score(features: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """A deterministic score from five signals, for use without a trained model."""
     points = (
@@ -51,13 +36,12 @@ def rule_score(features: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> Dat
 
 
 def score(
-    features: DataFrame, model: PipelineModel, threshold: float = DEFAULT_THRESHOLD
+    features: DataFrame, model: PipelineModel, threshold: float | None = None
 ) -> DataFrame:
-    """Score with a fitted model; works on batch and streaming frames alike."""
+    """Score with a fitted model, by the threshold that came with it unless one is given;
+    works on batch and streaming frames alike."""
     require_columns(features)
-    predicted = model.transform(features)
-    chance = vector_to_array(F.col("probability")).getItem(1)
-    return with_risk(predicted, chance, threshold).select(
+    return decided(features, model, threshold).select(
         *features.columns, "fraud_probability", "fraud_flag", "risk_tier"
     )
 

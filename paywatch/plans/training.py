@@ -7,6 +7,7 @@ node instead of per tree.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,10 +15,11 @@ from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paywatch.functions import ratio
+from paywatch.plans.decision import with_decision
 from paywatch.plans.evaluation import best_threshold, comparison, threshold_sweep
 from paywatch.plans.scoring import require_columns, score
 from paywatch.schema import FEATURE_COLUMNS, IMPORTANCES, LABEL
@@ -64,11 +66,80 @@ def with_split(df: DataFrame, test_share: float = TEST_SHARE, row_id: str = "txn
     return df.withColumn("is_test", _hashed_below(row_id, test_share, 1).cast("int"))
 
 
+#: Hexadecimal digits of the hash that one pass looks at: 65,536 bins a class.
+DIGITS = 4
+
+
+def _cuts(df: DataFrame, share: float, row_id: str, label: str) -> list[tuple[object, str | None]]:
+    """(class, cut): the rows of a class whose hash begins with `cut` or less are its share.
+
+    The k-th smallest hash of each class is found digit by digit, without a sort: a histogram
+    of the next digits tells the bin that holds it, and the next pass looks into that bin only.
+    A pass hands on 65,536 bins a class at most; the bins shrink 65,536-fold each time, so three
+    passes do for 10^14 rows.
+    """
+    hashed = df.select(F.col(label).alias("c"), F.md5(F.coalesce(F.col(row_id), F.lit("")).cast("string")).alias("h"))
+    found: dict[object, str | None] = {}
+    todo: dict[object, tuple[str, int]] | None = None
+    for digits in range(DIGITS, 33, DIGITS):
+        rows = hashed
+        if todo is not None:
+            inside = [F.col("c").eqNullSafe(F.lit(c)) & F.startswith("h", F.lit(prefix)) for c, (prefix, _) in todo.items()]
+            rows = hashed.where(functools.reduce(Column.__or__, inside))
+        bins = rows.groupBy("c", F.substring("h", 1, digits).alias("bin")).agg(F.count("*").alias("n"))
+        in_class = Window.partitionBy("c")
+        bins = bins.select(
+            "c", "bin", "n", F.sum("n").over(in_class.orderBy("bin")).alias("upto"), F.sum("n").over(in_class).alias("total")
+        )
+        if todo is None:
+            wanted = F.floor(F.col("total") * F.lit(share) + F.lit(0.5))
+        else:
+            wanted = F.lit(None).cast("bigint")
+            for c, (_, rest) in todo.items():
+                wanted = F.when(F.col("c").eqNullSafe(F.lit(c)), F.lit(rest)).otherwise(wanted)
+        reached = bins.withColumn("wanted", wanted.cast("bigint")).groupBy("c").agg(
+            F.min(F.when(F.col("upto") >= F.col("wanted"), F.struct("bin", "upto", "n"))).alias("at"),
+            F.max("wanted").alias("wanted"),
+        )
+        todo = {}
+        for row in reached.collect():
+            if row.wanted == 0:
+                found[row.c] = None
+            elif row["at"].upto == row.wanted or digits == 32:
+                # Equal hashes are repeated ids, which stay on one side.
+                found[row.c] = row["at"].bin
+            else:
+                todo[row.c] = (row["at"].bin, row.wanted - (row["at"].upto - row["at"].n))
+        if not todo:
+            break
+    return list(found.items())
+
+
+def with_stratified_split(
+    df: DataFrame, test_share: float = TEST_SHARE, row_id: str = "txn_id", label: str = LABEL
+) -> DataFrame:
+    """Add `is_test`: of every class of `label`, missing included, exactly its share of the
+    rows (to the nearest row), those with the smallest hashes of their ids.
+
+    Rows that share an id stay on one side. Reads `df` two to four times, so hand in a
+    written table. Shares hold for the table given: a row may change sides when rows are added.
+    """
+    if not 0 <= test_share <= 1:
+        raise ValueError(f"A share lies between 0 and 1: {test_share}")
+    digest = F.md5(F.coalesce(F.col(row_id), F.lit("")).cast("string"))
+    chosen = F.lit(0)
+    for c, cut in _cuts(df, test_share, row_id, label):
+        if cut is not None:
+            is_test = F.substring(digest, 1, len(cut)) <= F.lit(cut)
+            chosen = F.when(F.col(label).eqNullSafe(F.lit(c)), is_test.cast("int")).otherwise(chosen)
+    return df.withColumn("is_test", chosen)
+
+
 def split(
-    df: DataFrame, test_share: float = TEST_SHARE, row_id: str = "txn_id"
+    df: DataFrame, test_share: float = TEST_SHARE, row_id: str = "txn_id", label: str = LABEL
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test)."""
-    marked = with_split(df, test_share, row_id)
+    """(train, test), with the same share of every class."""
+    marked = with_stratified_split(df, test_share, row_id, label)
     return (
         marked.where(F.col("is_test") == 0).drop("is_test"),
         marked.where(F.col("is_test") == 1).drop("is_test"),
@@ -186,7 +257,8 @@ def train_trees(
 
 def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """(feature, importance_gain), strongest first; the gains sum to 1."""
-    gains = model.stages[-1].featureImportances.toArray()
+    trees = next(stage for stage in model.stages if hasattr(stage, "featureImportances"))
+    gains = trees.featureImportances.toArray()
     rows = [(name, float(gain)) for name, gain in zip(FEATURE_COLUMNS, gains)]
     return spark.createDataFrame(rows, IMPORTANCES).orderBy(
         F.desc("importance_gain"), F.asc("feature")
@@ -203,7 +275,7 @@ def load_model(path: str) -> PipelineModel:
 
 @dataclass(frozen=True)
 class Training:
-    """What a training run leaves behind."""
+    """What a training run leaves behind. The trees carry their threshold."""
 
     logistic: PipelineModel
     trees: PipelineModel
@@ -228,9 +300,10 @@ def train_and_compare(features: DataFrame, rounds: int = ROUNDS) -> Training:
     logistic = train_logistic(train)
     trees = train_trees(fit, validation, rounds, pos_weight)
     threshold = best_threshold(threshold_sweep(score(validation, trees))).head().threshold
+    trees = with_decision(trees, threshold)
     strengths = importances(spark, trees)
     report = comparison(
-        {LOGISTIC: score(test, logistic), TREES: score(test, trees, threshold)},
+        {LOGISTIC: score(test, logistic), TREES: score(test, trees)},
         {LOGISTIC: 0.5, TREES: threshold},
         strengths,
     )

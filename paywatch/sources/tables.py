@@ -106,6 +106,42 @@ def write_table(
     writer.format(fmt).save(path)
 
 
+def write_lookup_table(
+    scored: DataFrame, path: str, senders: int = 1_000_000, row_group_bytes: int | None = None
+) -> None:
+    """Write a scored table so that payments are found by day, tier, flag or sender.
+
+    Folders by day and tier are skipped by name. Inside them rows lie by flag, then sender,
+    so that row groups without a flagged payment are skipped by their range, and those that
+    cannot hold a sender by their range or, where it spans the sender, by a Bloom filter made
+    for `senders` distinct ones a row group. Each lookup is a plain filter, see
+    `operations.of_days`, `of_tier`, `flagged` and `of_sender`.
+
+    A row without a tier lies in a folder of its own; one without a sender is found by no sender.
+    """
+    lacking = [name for name in ("timestamp", "risk_tier", "fraud_flag", "sender_vpa") if name not in scored.columns]
+    if lacking:
+        raise ValueError(f"A lookup table needs columns: {lacking}")
+    dated = scored.withColumn(DAY, F.to_date("timestamp"))
+    spread = dated.hint("rebalance", F.col(DAY), F.col("risk_tier"))
+    writer = (
+        spread.sortWithinPartitions(DAY, "risk_tier", "fraud_flag", "sender_vpa")
+        .write.mode("overwrite")
+        .partitionBy(DAY, "risk_tier")
+        .option("parquet.bloom.filter.enabled#sender_vpa", "true")
+        .option("parquet.bloom.filter.expected.ndv#sender_vpa", str(senders))
+    )
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    writer.parquet(path)
+
+
+def read_lookup_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table with its day and tier, by whose folders filters prune."""
+    shape = T.StructType([*SCORED, T.StructField(DAY, T.DateType())])
+    return spark.read.schema(shape).parquet(path).select(*shape.fieldNames())
+
+
 def register_transactions(scored: DataFrame, name: str = "transactions") -> None:
     """Make a scored table known to `spark.sql` under `name`.
 

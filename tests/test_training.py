@@ -1,8 +1,11 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from paywatch.contract import queries
 from paywatch.plans import training
+from paywatch.plans.decision import RiskDecision, threshold_of, with_decision
 from paywatch.plans.evaluation import ranking_measures
 from paywatch.plans.scoring import score
 from paywatch.schema import FEATURE_COLUMNS
@@ -36,6 +39,59 @@ def test_split_keeps_shares_and_is_stable(inputs):
     assert test.select("txn_id").exceptAll(training.split(inputs.repartition(3))[1].select("txn_id")).count() == 0
 
 
+@pytest.mark.parametrize("share", [0, 0.2, 0.37, 1])
+def test_every_class_has_its_share(spark, share):
+    """Against a sort; with a missing label, a class of one and ids that come twice."""
+    rows = [(f"T{i}", i % 3 % 2) for i in range(1000)] + [("x", None), ("y", None), ("z", None), (None, 5), ("twice", 7), ("twice", 7)]
+    marked = training.with_stratified_split(spark.createDataFrame(rows, "txn_id string, is_fraud int"), share).collect()
+    hashes = {}
+    for i, label in rows:
+        hashes.setdefault(label, []).append(hashlib.md5((i or "").encode()).hexdigest())
+    for label, own in hashes.items():
+        count = int(len(own) * share + 0.5)
+        chosen = sorted(hashlib.md5((r.txn_id or "").encode()).hexdigest() for r in marked if r.is_fraud == label and r.is_test)
+        if label == 7:
+            assert len(chosen) in (0, 2)
+        else:
+            assert chosen == sorted(own)[:count]
+    assert len(marked) == len(rows)
+
+
+def test_split_of_no_rows_and_of_a_wrong_share(spark):
+    nothing = spark.createDataFrame([], "txn_id string, is_fraud int")
+    assert training.with_stratified_split(nothing).count() == 0
+    with pytest.raises(ValueError):
+        training.with_stratified_split(nothing, 1.5)
+
+
+def test_close_hashes_need_further_digits(spark, monkeypatch):
+    monkeypatch.setattr(training, "DIGITS", 1)
+    rows = spark.range(3000).selectExpr("cast(id AS string) AS txn_id", "cast(id % 2 AS int) AS is_fraud")
+    counts = training.with_stratified_split(rows, 0.1).groupBy("is_fraud").agg(F.sum("is_test")).collect()
+    assert [r[1] for r in counts] == [150, 150]
+
+
+def test_threshold_travels_with_the_model(trained, tmp_path):
+    _, trees, test = trained
+    tuned = with_decision(trees, 0.123)
+    training.save_model(tuned, str(tmp_path / "tuned"))
+    again = training.load_model(str(tmp_path / "tuned"))
+    assert threshold_of(again) == 0.123 and threshold_of(trees) == 0.5
+    rows = score(test, again).orderBy("txn_id").collect()
+    assert rows == score(test, trees, 0.123).orderBy("txn_id").collect()
+    assert all(r.fraud_flag == (r.fraud_probability >= 0.123) for r in rows)
+    assert score(test, again, 0.9).where("fraud_flag = 1 AND fraud_probability < 0.9").count() == 0
+    assert len(with_decision(again, 0.4).stages) == len(trees.stages) + 1
+
+
+def test_decision_on_odd_probabilities(spark):
+    rows = spark.createDataFrame([(None,), (float("nan"),), (0.5,), (1.0,)], "probability double")
+    got = RiskDecision(threshold=0.5).transform(rows).select("fraud_flag", "risk_tier").collect()
+    assert [tuple(r) for r in got] == [(0, "LOW"), (0, "LOW"), (1, "MEDIUM"), (1, "HIGH")]
+    with pytest.raises(ValueError):
+        RiskDecision(threshold=1.5)
+
+
 def test_validation_is_apart_from_test(inputs):
     train, test = training.split(inputs)
     fit, held = training.split_validation(train)
