@@ -4,9 +4,11 @@ State per sender: for each bucket of time the instants of its payments and how m
 each. A payment at t counts the sender's payments in [t - width, t), like the batch feature;
 payments of its own instant do not count each other. The instants make the count exact, the
 buckets make it cheap to keep: a batch writes only the buckets it adds to, and a bucket is
-removed whole once the watermark has passed its end by `width`. So a sender holds at most
-(width + delay) / bucket + 2 buckets, whatever their history, and payments that share an
-instant take one entry. A timer clears a sender who has fallen silent.
+removed whole once it ends `width` before the watermark, or `width` and the delay before the
+sender's own latest payment, since the watermark will have come as far by the next batch. So a
+sender holds at most (width + delay) / bucket + 2 buckets, whatever their history and however
+much one batch brings, and payments that share an instant take one entry. A timer clears a
+sender who has fallen silent.
 
 Payments that come in the order of their times get what the batch feature gives. One that
 comes late, but within the delay, is counted with what is known by then; payments that went
@@ -38,8 +40,9 @@ SHORT_STORE = "rocksdb"
 class TrailingCounts(StatefulProcessor):
     """Counts a sender's payments before each payment; all times in microseconds."""
 
-    def __init__(self, width: int, bucket: int):
-        self.width, self.bucket = width, bucket
+    def __init__(self, width: int, bucket: int, delay: int):
+        # The watermark is kept in whole milliseconds.
+        self.width, self.bucket, self.delay = width, bucket, delay + 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -49,7 +52,7 @@ class TrailingCounts(StatefulProcessor):
         frames = [frame[["txn_id", "at"]] for frame in rows]
         came = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
         at = came["at"].to_numpy(np.int64)
-        held = self._held(timerValues)
+        held = self._held()
         if not held:
             self._wake(int(at.max()))
         new, new_counts = np.unique(at, return_counts=True)
@@ -59,11 +62,14 @@ class TrailingCounts(StatefulProcessor):
         instants, before = instants[order], np.concatenate([[0], np.cumsum(counts[order])])
         until = before[np.searchsorted(instants, at, "left")]
         out_of = before[np.searchsorted(instants, at - self.width, "left")]
-        self._add(held, new, new_counts)
+        passed = max(self._passed(timerValues), int(instants[-1]) - self.delay - self.width)
+        self._remove(held, passed)
+        self._add(held, new, new_counts, passed)
         yield pd.DataFrame({"sender_vpa": key[0], "txn_id": came["txn_id"], "at": at, "velocity": (until - out_of).astype(np.int32)})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        held = self._held(timerValues)
+        held = self._held()
+        self._remove(held, self._passed(timerValues))
         if held:
             self._wake(max(int(instants[-1]) for instants, _ in held.values()))
         return iter([])
@@ -71,22 +77,21 @@ class TrailingCounts(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _held(self, timers) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """The buckets that a payment not yet dropped can still count; others are removed."""
-        passed = timers.getCurrentWatermarkInMs() * 1000 - self.width
-        held, gone = {}, []
-        for (bucket,), (instants, counts) in self.buckets.iterator():
-            if (bucket + 1) * self.bucket <= passed:
-                gone.append(bucket)
-            else:
-                held[bucket] = np.frombuffer(instants, np.int64), np.frombuffer(counts, np.int64)
-        for bucket in gone:
+    def _held(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        return {b: (np.frombuffer(i, np.int64), np.frombuffer(c, np.int64)) for (b,), (i, c) in self.buckets.iterator()}
+
+    def _passed(self, timers) -> int:
+        """No payment to come counts one before this time."""
+        return timers.getCurrentWatermarkInMs() * 1000 - self.width
+
+    def _remove(self, held: dict, passed: int) -> None:
+        for bucket in [b for b in held if (b + 1) * self.bucket <= passed]:
+            del held[bucket]
             self.buckets.removeKey((bucket,))
-        return held
 
-    def _add(self, held: dict, new: np.ndarray, new_counts: np.ndarray) -> None:
+    def _add(self, held: dict, new: np.ndarray, new_counts: np.ndarray, passed: int) -> None:
         number = new // self.bucket
-        for bucket in np.unique(number).tolist():
+        for bucket in np.unique(number[(number + 1) * self.bucket > passed]).tolist():
             own = number == bucket
             instants, counts = held.get(bucket, (np.zeros(0, np.int64),) * 2)
             instants, place = np.unique(np.concatenate([instants, new[own]]), return_inverse=True)
@@ -99,20 +104,20 @@ class TrailingCounts(StatefulProcessor):
 
 
 def payment_velocity_stream(
-    transactions: DataFrame, width: int = HOUR, bucket: int = MINUTE, delay: str = "10 minutes"
+    transactions: DataFrame, width: int = HOUR, bucket: int = MINUTE, delay: int = 10 * MINUTE
 ) -> DataFrame:
     """txn_id, timestamp, sender_vpa and sender_txn_velocity of every payment; for append mode.
 
-    `width` and `bucket` are in microseconds. The session's state store is set to RocksDB,
+    `width`, `bucket` and `delay` are in microseconds. The session's state store is set to RocksDB,
     the one that keeps keyed state with timers."""
-    if bucket <= 0 or width <= 0:
-        raise ValueError(f"Width and bucket must be positive: {width}, {bucket}")
+    if bucket <= 0 or width <= 0 or delay < 0:
+        raise ValueError(f"Width and bucket must be positive, the delay not negative: {width}, {bucket}, {delay}")
     conf = transactions.sparkSession.conf
     if conf.get("spark.sql.streaming.stateStore.providerClass", "") not in (STORE, SHORT_STORE):
         conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    timed = _timed(transactions, delay).select("sender_vpa", "txn_id", micros(F.col("timestamp")).alias("at"), "_event_time")
+    timed = _timed(transactions, f"{-(-delay // 1000)} milliseconds").select("sender_vpa", "txn_id", micros(F.col("timestamp")).alias("at"), "_event_time")
     counted = timed.groupBy("sender_vpa").transformWithStateInPandas(
-        TrailingCounts(width, bucket), "sender_vpa string, txn_id string, at long, velocity int", "append", "EventTime"
+        TrailingCounts(width, bucket, delay), "sender_vpa string, txn_id string, at long, velocity int", "append", "EventTime"
     )
     return counted.select(
         "txn_id", _ntz(F.timestamp_micros("at")).alias("timestamp"), "sender_vpa", F.col("velocity").alias("sender_txn_velocity")
@@ -124,7 +129,7 @@ def payment_alerts_stream(
     threshold: int = VELOCITY_THRESHOLD,
     width: int = HOUR,
     bucket: int = MINUTE,
-    delay: str = "10 minutes",
+    delay: int = 10 * MINUTE,
 ) -> DataFrame:
     """Payments before which their sender made more than `threshold` others within `width`,
     each in the batch in which it comes."""
