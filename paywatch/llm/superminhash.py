@@ -9,8 +9,9 @@ lowers the variance, and a pass may end as soon as every component is below j +
 Documents of equal sets are one class, named by the smallest id. Bands of the
 signature gather candidates among classes; links are confirmed on the full sets.
 In each bucket every class first meets the smallest, the head. What that leaves
-unconnected is compared by signature inside tasks, block against block, and only
-likely pairs come out; no bucket is expanded into rows for all its pairs.
+unconnected is compared inside tasks, block against block, by signature and then on the
+full sets, and only links that connect come out; no bucket is expanded into rows for all
+its pairs.
 
 Null texts have no words. Rows that repeat, with one id, form one document and get
 the same answer. A row without an id belongs to the group of an equal set; alone, it
@@ -37,8 +38,8 @@ BANDS, ROWS = 32, 5
 LENGTH = 257
 #: Components kept, as a byte each, to tell unlikely pairs.
 WIDTH = 256
-#: Classes that one task compares with as many others.
-BLOCK = 4096
+#: Classes, and bytes of their sets, that one task compares with as many others.
+BLOCK, BLOCK_BYTES = 4096, 1 << 23
 MASK = (1 << 64) - 1
 
 
@@ -159,66 +160,6 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "s_a", "s_b").mapInArrow(keep, "a long, b long")
 
 
-def among(met: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs among the classes that met one head and are not yet connected.
-
-    Whatever shares a bucket has met that bucket's head, so all pairs of buckets are
-    among these. A large circle is cut into blocks, and each task compares two blocks.
-    """
-    met = met.select("head", "node", F.coalesce("root", "node").alias("comp"))
-    size = met.groupBy("head").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
-    rows = met.join(size.filter("low < high").select("head", blocks), "head")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # A pair that met several heads is left to the first of them.
-    common = met.groupBy("node").agg(F.sort_array(F.collect_set("head")).alias("heads"))
-    rows = rows.select(
-        "head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp"
-    ).join(common, "node").join(classes.select("node", "n", "signature"), "node")
-    rows = rows.repartition("head", "i", "j").sortWithinPartitions("head", "i", "j")
-    least = likeness(percent)
-
-    def compare(group: pa.Table) -> pa.RecordBatch:
-        i, own, node, comp, n = (group[c].to_numpy() for c in ("i", "own", "node", "comp", "n"))
-        signature = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(-1, WIDTH)
-        head, heads = group["head"][0].as_py(), [set(x) for x in group["heads"].to_pylist()]
-        first = np.flatnonzero(own == i)
-        second = first if group["i"][0] == group["j"][0] else np.flatnonzero(own != i)
-        a, b = [], []
-        for at in range(0, len(first), 32):
-            part = first[at : at + 32]
-            may = comp[part][:, None] != comp[second][None]
-            low, high = np.minimum(n[part][:, None], n[second][None]), np.maximum(n[part][:, None], n[second][None])
-            p, q = np.nonzero(may & (low * 100 >= high * percent))
-            p, q = part[p], second[q]
-            for k in range(0, len(p), 1 << 16):
-                u, v = p[k : k + (1 << 16)], q[k : k + (1 << 16)]
-                close = (signature[u] == signature[v]).mean(1) >= least
-                for x, y in zip(u[close].tolist(), v[close].tolist(), strict=True):
-                    if min(heads[x] & heads[y]) == head:
-                        a.append(min(node[x], node[y]))
-                        b.append(max(node[x], node[y]))
-        pairs = np.unique(np.array([a, b], np.int64).T, axis=0) if a else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        for batch in batches:
-            key = np.stack([batch.column(c).to_numpy() for c in (1, 2, 3)], 1)
-            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if b > a:
-                    if held and held[-1].select(["head", "i", "j"]).slice(0, 1).to_pylist() != batch.select([1, 2, 3]).slice(a, 1).to_pylist():
-                        yield compare(pa.concat_tables(held))
-                        held = []
-                    held.append(pa.Table.from_batches([batch.slice(a, b - a)]))
-        if held:
-            yield compare(pa.concat_tables(held))
-
-    return rows.select("node", "head", "i", "j", "own", "comp", "n", "signature", "heads").mapInArrow(run, "a long, b long")
-
-
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,6 +196,89 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int, id_col: str, text_c
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def among(
+    met: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str
+) -> DataFrame:
+    """Links that connect the classes that met one head and are not yet connected.
+
+    Whatever shares a bucket has met that bucket's head, so all pairs of buckets are
+    among these. A large circle is cut into blocks by rows and by bytes, and each task
+    compares two blocks: likely pairs are confirmed there, on the full sets, unless what was
+    found before already connects them. Only links that connect leave the task, fewer
+    than the rows of its two blocks; refuted pairs never become rows.
+    """
+    met = met.select("head", "node", F.coalesce("root", "node").alias("comp"))
+    sized = met.join(classes.select("node", "n"), "node")
+    size = sized.groupBy("head").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("values")
+    )
+    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("values") * 8 / BLOCK_BYTES)).cast("int")
+    # Written first: a join of two plain exchanges is one whose hot keys Spark can split.
+    circles = materialize(size.filter("low < high").select("head", blocks.alias("blocks")), "circles")
+    inside = materialize(met.join(circles, "head"), "circle-rows")
+    wanted = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
+    wanted = wanted.join(inside.select("node").distinct(), "node", "left_semi")
+    sets = materialize(shingle_sets(wanted, "node", "text").dropDuplicates(["node"]), "shingles")
+    rows = inside.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # A pair that met several heads is left to the first of them.
+    common = met.groupBy("node").agg(F.sort_array(F.collect_set("head")).alias("heads"))
+    rows = rows.select(
+        "head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp"
+    ).join(common, "node").join(classes.select("node", "n", "signature"), "node").join(sets, "node")
+    rows = rows.repartition("head", "i", "j").sortWithinPartitions("head", "i", "j")
+    least = likeness(percent)
+
+    def compare(group: pa.Table) -> pa.RecordBatch:
+        own, node, comp, n = (group[c].to_numpy() for c in ("own", "node", "comp", "n"))
+        signature = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(-1, WIDTH)
+        head, heads = group["head"][0].as_py(), [set(x) for x in group["heads"].to_pylist()]
+        sets = [np.frombuffer(x.as_buffer(), U64) for x in group["shingles"]]
+        same = group["i"][0] == group["j"][0]
+        first = np.flatnonzero(own == group["i"][0].as_py())
+        second = first if same else np.flatnonzero(own != group["i"][0].as_py())
+        joined = np.unique(comp, return_inverse=True)[1]
+        links = []
+        for k, x in enumerate(first.tolist()):
+            may = second[k + 1 :] if same else second
+            may = may[joined[may] != joined[x]]
+            low, high = np.minimum(n[may], n[x]), np.maximum(n[may], n[x])
+            may = may[low * 100 >= high * percent]
+            alike = (signature[may] == signature[x]).mean(1)
+            likely = np.flatnonzero(alike >= least)
+            may = may[likely[np.argsort(-alike[likely], kind="stable")]]
+            may = np.array([y for y in may.tolist() if min(heads[x] & heads[y]) == head], np.int64)
+            while len(may):
+                part, may = may[:64], may[64:]
+                shingles = np.concatenate([sets[y] for y in part.tolist()])
+                place = np.minimum(np.searchsorted(sets[x], shingles), len(sets[x]) - 1)
+                shared = np.add.reduceat((sets[x][place] == shingles).astype(np.int64), np.cumsum(n[part]) - n[part])
+                for y in part[100 * shared >= percent * (n[x] + n[part] - shared)].tolist():
+                    if joined[y] != joined[x]:
+                        links.append((node[x], node[y]))
+                        joined[joined == joined[y]] = joined[x]
+                may = may[joined[may] != joined[x]]
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            key = np.stack([batch.column(c).to_numpy() for c in (1, 2, 3)], 1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b > a:
+                    if held and held[-1].select(["head", "i", "j"]).slice(0, 1).to_pylist() != batch.select([1, 2, 3]).slice(a, 1).to_pylist():
+                        yield compare(pa.concat_tables(held))
+                        held = []
+                    held.append(pa.Table.from_batches([batch.slice(a, b - a)]))
+        if held:
+            yield compare(pa.concat_tables(held))
+
+    columns = ["node", "head", "i", "j", "own", "comp", "n", "signature", "heads", "shingles"]
+    return rows.select(*columns).mapInArrow(run, "a long, b long")
+
+
 def links(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, root) for every class linked to another."""
     # Sets that differ reach the threshold only if large enough to lack one of their union.
@@ -280,11 +304,9 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_c
     found = confirm(materialize(likely(pairs, classes, percent), "pairs"), docs, percent, id_col, text_col)
     found = materialize(found, "links")
     roots = components(found)
-    rest = materialize(among(met.join(roots, "node", "left"), classes, percent), "pairs")
-    if rest.isEmpty():
-        return roots
-    more = confirm(rest.distinct(), docs, percent, id_col, text_col)
-    return components(found.unionByName(more))
+    rest = among(met.join(roots, "node", "left"), classes, docs, percent, id_col, text_col)
+    rest = materialize(rest, "links")
+    return roots if rest.isEmpty() else components(found.unionByName(rest))
 
 
 def groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
