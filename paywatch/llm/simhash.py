@@ -323,6 +323,9 @@ def groups(
     names = classes.join(linked_names, "print", "left").select(
         "print", F.coalesce("shared", "least").alias("component_id")
     )
+    # Written first: a join of two plain exchanges is one whose hot keys, the prints of many
+    # copies, Spark can split.
+    names = materialize(names, "fingerprint-names")
     return known.join(names, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
