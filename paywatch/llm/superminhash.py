@@ -38,8 +38,10 @@ BANDS, ROWS = 32, 5
 LENGTH = 257
 #: Components kept, as a byte each, to tell unlikely pairs.
 WIDTH = 256
-#: Classes, and bytes of their sets, that one task compares with as many others.
+#: Classes, and bytes of their sets, that one task compares with as many others at most.
 BLOCK, BLOCK_BYTES = 4096, 1 << 23
+#: Smaller circles are spread as well: blocks of this size, as long as there are no more than so many.
+SMALL_BLOCK, SMALL_BLOCKS = 256, 16
 MASK = (1 << 64) - 1
 
 
@@ -212,7 +214,8 @@ def among(
     size = sized.groupBy("head").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("values")
     )
-    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("values") * 8 / BLOCK_BYTES)).cast("int")
+    spread = F.least(F.ceil(F.col("rows") / SMALL_BLOCK), F.lit(SMALL_BLOCKS))
+    blocks = F.greatest(spread, F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("values") * 8 / BLOCK_BYTES)).cast("int")
     # Written first: a join of two plain exchanges is one whose hot keys Spark can split.
     circles = materialize(size.filter("low < high").select("head", blocks.alias("blocks")), "circles")
     inside = materialize(met.join(circles, "head"), "circle-rows")
