@@ -177,12 +177,15 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "node long, shingles binary")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union, on the full sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def sets_of(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, shingles) of the given nodes. The texts are shuffled once for all steps that need sets."""
     wanted = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    wanted = wanted.join(ids, "node", "left_semi")
-    sets = materialize(shingle_sets(wanted, "node", "text").dropDuplicates(["node"]), "shingles")
+    wanted = wanted.join(nodes.select("node").distinct(), "node", "left_semi")
+    return materialize(shingle_sets(wanted, "node", "text").dropDuplicates(["node"]), "shingles")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs with 100 * intersection >= percent * union, on the full sets."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,9 +201,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int, id_col: str, text_c
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
-def among(
-    met: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str
-) -> DataFrame:
+def among(met: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that connect the classes that met one head and are not yet connected.
 
     Whatever shares a bucket has met that bucket's head, so all pairs of buckets are
@@ -218,10 +219,7 @@ def among(
     blocks = F.greatest(spread, F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("values") * 8 / BLOCK_BYTES)).cast("int")
     # Written first: a join of two plain exchanges is one whose hot keys Spark can split.
     circles = materialize(size.filter("low < high").select("head", blocks.alias("blocks")), "circles")
-    inside = materialize(met.join(circles, "head"), "circle-rows")
-    wanted = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    wanted = wanted.join(inside.select("node").distinct(), "node", "left_semi")
-    sets = materialize(shingle_sets(wanted, "node", "text").dropDuplicates(["node"]), "shingles")
+    inside = met.join(circles, "head")
     rows = inside.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # A pair that met several heads is left to the first of them.
@@ -304,10 +302,11 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_c
     heads = buckets.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head < last")
     met = materialize(buckets.join(heads, "key").select("head", "node").distinct(), "met")
     pairs = met.filter("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    found = confirm(materialize(likely(pairs, classes, percent), "pairs"), docs, percent, id_col, text_col)
+    sets = sets_of(met, docs, id_col, text_col)
+    found = confirm(materialize(likely(pairs, classes, percent), "pairs"), sets, percent)
     found = materialize(found, "links")
     roots = components(found)
-    rest = among(met.join(roots, "node", "left"), classes, docs, percent, id_col, text_col)
+    rest = among(met.join(roots, "node", "left"), classes, sets, percent)
     rest = materialize(rest, "links")
     return roots if rest.isEmpty() else components(found.unionByName(rest))
 
