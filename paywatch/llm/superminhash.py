@@ -42,6 +42,8 @@ WIDTH = 256
 BLOCK, BLOCK_BYTES = 4096, 1 << 23
 #: Smaller circles are spread as well: blocks of this size, as long as there are no more than so many.
 SMALL_BLOCK, SMALL_BLOCKS = 256, 16
+#: Ids, of eight bytes each, that are sent to all tasks at most.
+MOST_SENT = 1 << 21
 MASK = (1 << 64) - 1
 
 
@@ -178,9 +180,14 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def sets_of(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles) of the given nodes. The texts are shuffled once for all steps that need sets."""
+    """(node, shingles) of the given nodes, made once for all steps that need sets.
+
+    As long as the list of nodes is short enough to be sent to all tasks, the texts stay where
+    they are; beyond that they are shuffled once."""
+    nodes = materialize(nodes.select("node").distinct(), "wanted")
+    nodes = F.broadcast(nodes) if nodes.count() <= MOST_SENT else nodes
     wanted = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    wanted = wanted.join(nodes.select("node").distinct(), "node", "left_semi")
+    wanted = wanted.join(nodes, "node", "left_semi")
     return materialize(shingle_sets(wanted, "node", "text").dropDuplicates(["node"]), "shingles")
 
 
