@@ -12,6 +12,10 @@ A word without a number of its own has the probability of its number times its s
 of the number's words, by the counts of the whole corpus, which stay a Spark table met
 by a join. Each count is raised by one, and words never seen have a count of one in all.
 
+Texts are cut into words twice: to count them, and to write their numbers, from which
+all rounds train and scores are taken. As each task averages into the common
+parameters, scores depend a little on how Spark cuts the table of numbers into tasks.
+
 Null and empty texts have 0 words, a sum of 0 and no mean. Rows that repeat are
 trained on and scored each. An empty corpus leaves the first parameters.
 """
@@ -81,15 +85,21 @@ def codes_of(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
     return out
 
 
+STEPS = np.array([*range(-REACH, 0), *range(1, REACH + 1)])
+
+
+def spaced(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers with REACH times CODES, for no word, around each text, and the place of each word in them."""
+    place = np.arange(len(codes)) + REACH * (owner + 1)
+    out = np.full(len(codes) + REACH * (int(owner[-1]) + 2 if len(owner) else 1), CODES, np.int64)
+    out[place] = codes
+    return out, place
+
+
 def contexts(codes: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Numbers of the words on both sides; CODES stands for no word."""
-    out = np.full((len(at), 2 * REACH), CODES, np.int64)
-    for k, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
-        near = at + step
-        inside = (near >= 0) & (near < len(codes))
-        inside[inside] = owner[near[inside]] == owner[at[inside]]
-        out[inside, k] = codes[near[inside]]
-    return out
+    numbers, place = spaced(codes, owner)
+    return numbers[place[at][:, None] + STEPS]
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -111,7 +121,10 @@ def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 def predict(p: Parameters, near: np.ndarray, target: np.ndarray):
     seen = p["words"].take(near, 0)
-    hidden = np.tanh(np.einsum("nkh,kh->nh", seen, p["sides"]) + p["bias"])
+    hidden = p["bias"] + seen[:, 0] * p["sides"][0]
+    for k in range(1, 2 * REACH):
+        hidden += seen[:, k] * p["sides"][k]
+    np.tanh(hidden, out=hidden)
     group, place = target // PLACES, target % PLACES
     by_group = _softmax(hidden @ p["group"] + p["group_bias"])
     given = hidden + p["given"].take(group, 0)
@@ -119,10 +132,31 @@ def predict(p: Parameters, near: np.ndarray, target: np.ndarray):
     return seen, hidden, given, group, place, by_group, by_place
 
 
-def log_probability(p: Parameters, near: np.ndarray, target: np.ndarray) -> np.ndarray:
-    *_, group, place, by_group, by_place = predict(p, near, target)
-    rows = np.arange(len(target))
-    return np.log(np.maximum(by_group[rows, group], 1e-30)) + np.log(np.maximum(by_place[rows, place], 1e-30))
+def by_side(p: Parameters) -> np.ndarray:
+    """What each word adds to the hidden layer from each side."""
+    return p["words"] * p["sides"][:, None]
+
+
+def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log of the softmax at one place of each row."""
+    x -= x.max(1, keepdims=True)
+    own = x[np.arange(len(at)), at]
+    np.exp(x, out=x)
+    return own - np.log(x @ np.ones(x.shape[1], x.dtype))
+
+
+def log_probability(p: Parameters, near: np.ndarray, target: np.ndarray, sided: np.ndarray | None = None) -> np.ndarray:
+    """Of each target between its neighbours; `sided` is by_side(p), where it is at hand."""
+    sided = by_side(p) if sided is None else sided
+    hidden = p["bias"] + sided[0].take(near[:, 0], 0)
+    for k in range(1, 2 * REACH):
+        hidden += sided[k].take(near[:, k], 0)
+    np.tanh(hidden, out=hidden)
+    group, place = target // PLACES, target % PLACES
+    out = _log_share(hidden @ p["group"] + p["group_bias"], group)
+    hidden += p["given"].take(group, 0)
+    bias = p["given_bias"] + p["place_bias"]
+    return out + _log_share(hidden @ p["place"] + bias.take(group, 0), place)
 
 
 def train_step(p: Parameters, near: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -175,25 +209,68 @@ def common_and_rare(counts: DataFrame) -> tuple[np.ndarray, DataFrame]:
     return np.sort(top["word"].to_numpy().view(np.uint64)), rare
 
 
-def _trained(docs: DataFrame, text_col: str, common, start, turn: int) -> DataFrame:
+def encode(docs: DataFrame, common: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row's words as 16-bit numbers, written once: row, doc_id, n_words, seed, codes
+    and pairs, the different words outside the commonest with how often the row has them."""
+    sent = docs.sparkSession.sparkContext.broadcast(common)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, bounds = flatten(batch.column(1))
+            for low, high in slices(bounds):
+                hashes, counts = words(flat[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low], BLANKS)
+                codes, owner = codes_of(hashes, sent.value), row_of(counts)
+                others = np.flatnonzero(codes >= COMMON)
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                sums = np.concatenate([[U64(0)], np.cumsum(hashes, dtype=U64)])
+                body = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(counts), [None, pa.py_buffer(2 * ends), pa.py_buffer(codes.astype(np.uint16))]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(low, high - low),
+                        pa.array(counts.astype(np.int64)),
+                        pa.array(mix(sums[ends[1:]] - sums[ends[:-1]]).view(np.int64)),
+                        body.cast(pa.binary()),
+                        _pairs(hashes[others], owner[others], len(counts)),
+                    ],
+                    names=["doc_id", "n_words", "seed", "codes", "pairs"],
+                )
+
+    schema = f"doc_id {kind}, n_words long, seed long, codes binary, pairs array<struct<word:long,times:int>>"
+    coded = docs.select(id_col, text_col).mapInArrow(run, schema)
+    return materialize(coded.withColumn("row", F.monotonically_increasing_id()), "word-numbers")
+
+
+def _numbers(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row ranges of a batch of `n_words` and `codes`, with the numbers and the text of each word."""
+    ends = np.concatenate([[0], np.cumsum(batch.column("n_words").to_numpy())])
+    for low, high in slices(2 * ends):
+        column = batch.column("codes").slice(low, high - low).cast(pa.large_binary())
+        codes = np.frombuffer(b"".join(column.to_pylist()), np.uint16).astype(np.int64)
+        yield low, high, codes, row_of(np.diff(ends[low : high + 1]))
+
+
+def _trained(coded: DataFrame, start, turn: int) -> DataFrame:
     """Parameters after a pass over each partition, in pieces with their weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = {k: v.copy() for k, v in start.value.items()}
         seen = 0
         for batch in batches:
-            flat, bounds = flatten(batch.column(0))
-            for low, high in slices(bounds):
-                hashes, counts = words(flat[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low], BLANKS)
-                codes = codes_of(hashes, common.value)
-                chance = mix(np.arange(len(codes), dtype=U64) + hashes + U64(bounds[low]))
+            seeds = batch.column("seed").to_numpy().view(np.uint64)
+            for low, high, codes, owner in _numbers(batch):
+                # By text and place in it alone, so that each place has one turn.
+                begins = np.searchsorted(owner, np.arange(high - low))
+                chance = mix(seeds[low:high][owner] + (np.arange(len(codes)) - begins[owner]).astype(U64))
                 at = np.flatnonzero(chance % U64(ROUNDS) == U64(turn))
                 at = at[np.argsort(chance[at])]
-                near = contexts(codes, row_of(counts), at)
+                numbers, place = spaced(codes, owner)
                 for k in range(0, len(at), BATCH):
-                    rate = RATE / (1 + seen / 2e5)
-                    train_step(p, near[k : k + BATCH], codes[at[k : k + BATCH]], rate)
-                    seen += len(at[k : k + BATCH])
+                    mine = at[k : k + BATCH]
+                    train_step(p, numbers[place[mine][:, None] + STEPS], codes[mine], RATE / (1 + seen / 2e5))
+                    seen += len(mine)
         if seen:
             pieces = np.array_split(joined(p), PIECES)
             yield pa.RecordBatch.from_arrays(
@@ -201,7 +278,7 @@ def _trained(docs: DataFrame, text_col: str, common, start, turn: int) -> DataFr
                 names=["piece", "weight", "body"],
             )
 
-    return docs.select(text_col).mapInArrow(run, "piece int, weight long, body binary")
+    return coded.select("n_words", "seed", "codes").mapInArrow(run, "piece int, weight long, body binary")
 
 
 def _mean(rows: pa.Table) -> pa.Table:
@@ -223,15 +300,23 @@ def average(trained: DataFrame) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(r["body"], np.float32) for r in rows]) if rows else None
 
 
-def train(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, Parameters, DataFrame]:
-    """The commonest words, the parameters and the counts of all other words."""
-    context = docs.sparkSession.sparkContext
-    common, rare = common_and_rare(materialize(word_counts(docs, text_col), "word-counts"))
-    sent, p = context.broadcast(common), first_parameters()
+def counted(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, DataFrame]:
+    return common_and_rare(materialize(word_counts(docs, text_col), "word-counts"))
+
+
+def train_coded(coded: DataFrame) -> Parameters:
+    context, p = coded.sparkSession.sparkContext, first_parameters()
     for turn in range(ROUNDS):
-        flat = average(_trained(docs, text_col, sent, context.broadcast(p), turn))
+        flat = average(_trained(coded, context.broadcast(p), turn))
         p = p if flat is None else parted(flat)
-    return common, p, rare
+    return p
+
+
+def train(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, Parameters, DataFrame]:
+    """The commonest words, the parameters and the counts of all other words."""
+    common, rare = counted(docs, text_col)
+    coded = encode(docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text")), common)
+    return common, train_coded(coded), rare
 
 
 def unseen_shares(rare: DataFrame) -> np.ndarray:
@@ -257,39 +342,48 @@ def _pairs(hashes: np.ndarray, owner: np.ndarray, rows: int) -> pa.ListArray:
 def score(
     docs: DataFrame, common: np.ndarray, p: Parameters, rare: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, n_words, log_likelihood and mean_log_likelihood of every row.
+    """doc_id, n_words, log_likelihood and mean_log_likelihood of every row, by a trained model."""
+    return score_coded(encode(docs, common, id_col, text_col), p, rare)
+
+
+def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As `score`, by a model of the same documents, whose numbers are written once for both."""
+    common, rare = counted(docs, text_col)
+    coded = encode(docs, common, id_col, text_col)
+    return score_coded(coded, train_coded(coded), rare)
 
-    Tasks give each word outside the commonest the share of one never seen; the join
+
+def score_coded(coded: DataFrame, p: Parameters, rare: DataFrame) -> DataFrame:
+    """Tasks give each word outside the commonest the share of one never seen; the join
     with the counts adds log(n + 1) for those that are known. As none of these words
     is commoner than the last of the commonest, no join key is hot.
     """
-    model = docs.sparkSession.sparkContext.broadcast((common, p, unseen_shares(rare)))
-    kind = docs.schema[id_col].dataType.simpleString()
+    model = coded.sparkSession.sparkContext.broadcast((p, unseen_shares(rare)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, p, unseen = model.value
+        p, unseen = model.value
+        sided = by_side(p)
         for batch in batches:
-            flat, bounds = flatten(batch.column(1))
-            for low, high in slices(bounds):
-                hashes, counts = words(flat[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low], BLANKS)
-                codes, owner, logs = codes_of(hashes, common), row_of(counts), [np.zeros(0)]
-                for k in range(0, len(codes), 1 << 14):
-                    at = np.arange(k, min(k + (1 << 14), len(codes)))
-                    logs.append(log_probability(p, contexts(codes, owner, at), codes[at]))
-                logs, others = np.concatenate(logs), np.flatnonzero(codes >= COMMON)
+            totals = [np.zeros(0)]
+            for low, high, codes, owner in _numbers(batch):
+                numbers, place = spaced(codes, owner)
+                logs = np.zeros(len(codes))
+                for k in range(0, len(codes), 2 * BATCH):
+                    near = numbers[place[k : k + 2 * BATCH, None] + STEPS]
+                    logs[k : k + 2 * BATCH] = log_probability(p, near, codes[k : k + 2 * BATCH], sided)
+                others = np.flatnonzero(codes >= COMMON)
                 logs[others] += unseen[codes[others] - COMMON]
-                total = np.bincount(owner, logs, len(counts))
-                pairs = _pairs(hashes[others], owner[others], len(counts))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(counts.astype(np.int64)), pa.array(total), pairs],
-                    names=["doc_id", "n_words", "log_likelihood", "pairs"],
-                )
+                totals.append(np.bincount(owner, logs, high - low))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("row", "doc_id", "n_words")), pa.array(np.concatenate(totals))],
+                names=["row", "doc_id", "n_words", "log_likelihood"],
+            )
 
-    schema = f"doc_id {kind}, n_words long, log_likelihood double, pairs array<struct<word:long,times:int>>"
-    scored = docs.select(id_col, text_col).mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
-    scored = materialize(scored, "word-scores")
-    known = scored.selectExpr("row", "inline(pairs)").join(rare.select("word", "n"), "word")
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    schema = f"row long, doc_id {kind}, n_words long, log_likelihood double"
+    scored = coded.select("row", "doc_id", "n_words", "codes").mapInArrow(run, schema)
+    known = coded.selectExpr("row", "inline(pairs)").join(rare.select("word", "n"), "word")
     known = known.groupBy("row").agg(F.sum(F.col("times") * F.log(F.col("n") + 1.0)).alias("known"))
     total = F.col("log_likelihood") + F.coalesce("known", F.lit(0.0))
-    out = scored.drop("pairs").join(known, "row", "left").select("doc_id", "n_words", total.alias("log_likelihood"))
+    out = scored.join(known, "row", "left").select("doc_id", "n_words", total.alias("log_likelihood"))
     return out.withColumn("mean_log_likelihood", F.expr("log_likelihood / nullif(n_words, 0)"))

@@ -66,8 +66,7 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pseudo_likelihoods(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    return masked_lm.score(docs, *masked_lm.train(docs))
+    return masked_lm.train_and_score(table(spark, folder, "documents"))
 
 
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:

@@ -175,10 +175,54 @@ def test_pseudo_likelihood_gradient_and_odd_rows(docs, empty):
     assert masked_lm.score(empty, *masked_lm.train(empty)).count() == 0
 
 
+def test_masked_step_follows_the_gradient():
+    """Each kind of parameter against finite differences, in double precision."""
+    start = {k: v.astype(np.float64) for k, v in masked_lm.first_parameters().items()}
+    near, target = np.array([[1, 2, 3, 4096], [5, 5, 7, 9], [1, 5, 3, 8]]), np.array([77, 4000, 80])
+    moved = {k: v.copy() for k, v in start.items()}
+    masked_lm.train_step(moved, near, target, 1e-6)
+    places = {"words": (5, 3), "sides": (1, 4), "bias": (2,), "group": (6, 1), "group_bias": (1,), "given": (1, 7), "place": (3, 13), "place_bias": (13,), "given_bias": (1, 16)}
+    for name, at in places.items():
+        values = []
+        for step in (1e-5, -1e-5):
+            p = {k: v.copy() for k, v in start.items()}
+            p[name][at] += step
+            values.append(masked_lm.log_probability(p, near, target).mean())
+        longer = 16 if name in ("words", "given", "given_bias") else 1
+        slope = (moved[name][at] - start[name][at]) / 1e-6 / longer
+        # The scale of a step is kept in single precision.
+        assert slope == pytest.approx((values[0] - values[1]) / 2e-5, rel=1e-4, abs=1e-9), name
+
+
+def test_scores_against_a_loop_over_words(docs):
+    common, p, rare = masked_lm.train(docs)
+    counts = {r.word: r.n for r in rare.collect()}
+    sums = {}
+    for r in rare.collect():
+        sums[r.bucket] = sums.get(r.bucket, 0) + r.n + 1
+    got = sorted((r.doc_id or 0, r.n_words, r.log_likelihood) for r in masked_lm.score(docs, common, p, rare).collect())
+    soft = lambda x: x - np.log(np.exp(x - x.max()).sum()) - x.max()
+    for (doc_id, n_words, total), (_, text) in zip(got, sorted((d or 0, t or "") for d, t, _, _ in DOCS), strict=True):
+        flat = np.frombuffer(text.encode(), np.uint8)
+        hashes = words(flat, np.array([0, len(flat)]), BLANKS)[0]
+        codes, plain = masked_lm.codes_of(hashes, common).tolist(), 0.0
+        for i, code in enumerate(codes):
+            hidden = p["bias"].astype(float)
+            for k, j in enumerate((i - 2, i - 1, i + 1, i + 2)):
+                hidden = hidden + p["words"][codes[j] if 0 <= j < len(codes) else masked_lm.CODES] * p["sides"][k]
+            hidden, group, place = np.tanh(hidden), *divmod(code, masked_lm.PLACES)
+            plain += soft(hidden @ p["group"] + p["group_bias"])[group]
+            plain += soft((hidden + p["given"][group]) @ p["place"] + p["place_bias"] + p["given_bias"][group])[place]
+            if code >= masked_lm.COMMON:
+                bucket = code - masked_lm.COMMON
+                plain += np.log((counts.get(int(hashes[i].view(np.int64)), 0) + 1) / (sums[bucket] + 1))
+        assert n_words == len(codes) and total == pytest.approx(plain, rel=1e-4, abs=1e-6), doc_id
+
+
 def test_every_position_is_a_target(docs, spark):
-    common, p = masked_lm.common_and_rare(masked_lm.word_counts(docs))[0], masked_lm.first_parameters()
-    sent = [spark.sparkContext.broadcast(x) for x in (common, p)]
-    turns = [masked_lm._trained(docs, "text", *sent, turn).where("piece = 0") for turn in range(masked_lm.ROUNDS)]
+    coded = masked_lm.encode(docs, masked_lm.counted(docs)[0])
+    sent = spark.sparkContext.broadcast(masked_lm.first_parameters())
+    turns = [masked_lm._trained(coded, sent, turn).where("piece = 0") for turn in range(masked_lm.ROUNDS)]
     trained = sum(r.weight for turn in turns for r in turn.collect())
     assert trained == sum(len((t or "").split()) for _, t, _, _ in DOCS)
 
