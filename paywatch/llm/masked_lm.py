@@ -37,6 +37,8 @@ CODES = GROUPS * PLACES
 COMMON = CODES // 2
 HIDDEN, REACH = 16, 2
 ROUNDS, RATE, BATCH = 2, 0.3, 2048
+#: Rows of one matrix product; so few that it runs in the calling thread.
+BLOCK = 256
 #: Pieces in which parameters travel, and lanes in which they are first averaged.
 PIECES, LANES = 16, 64
 
@@ -102,10 +104,31 @@ def contexts(codes: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray
     return numbers[place[at][:, None] + STEPS]
 
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b by blocks of rows, so small that the matrix library starts no threads beside Spark's."""
+    if len(a) <= BLOCK:
+        return a @ b
+    out = np.empty((len(a), b.shape[1]), a.dtype)
+    for k in range(0, len(a), BLOCK):
+        np.matmul(a[k : k + BLOCK], b, out=out[k : k + BLOCK])
+    return out
+
+
+def _crossed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b, likewise."""
+    return sum(a[k : k + BLOCK].T @ b[k : k + BLOCK] for k in range(0, len(a), BLOCK))
+
+
+def _levelled(x: np.ndarray) -> np.ndarray:
+    """Logits whose exponentials neither overflow nor vanish together."""
+    if len(x) and (x.max() > 60 or x.min() < -60):
+        x -= x.max(1, keepdims=True)
+    return x
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x @ np.ones((x.shape[1], 1), x.dtype)
+    np.exp(_levelled(x), out=x)
+    x /= np.einsum("nk->n", x)[:, None]
     return x
 
 
@@ -126,9 +149,9 @@ def predict(p: Parameters, near: np.ndarray, target: np.ndarray):
         hidden += seen[:, k] * p["sides"][k]
     np.tanh(hidden, out=hidden)
     group, place = target // PLACES, target % PLACES
-    by_group = _softmax(hidden @ p["group"] + p["group_bias"])
+    by_group = _softmax(_times(hidden, p["group"]) + p["group_bias"])
     given = hidden + p["given"].take(group, 0)
-    by_place = _softmax(given @ p["place"] + p["place_bias"] + p["given_bias"].take(group, 0))
+    by_place = _softmax(_times(given, p["place"]) + (p["given_bias"] + p["place_bias"]).take(group, 0))
     return seen, hidden, given, group, place, by_group, by_place
 
 
@@ -139,10 +162,9 @@ def by_side(p: Parameters) -> np.ndarray:
 
 def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log of the softmax at one place of each row."""
-    x -= x.max(1, keepdims=True)
-    own = x[np.arange(len(at)), at]
+    own = _levelled(x)[np.arange(len(at)), at]
     np.exp(x, out=x)
-    return own - np.log(x @ np.ones(x.shape[1], x.dtype))
+    return own - np.log(np.einsum("nk->n", x))
 
 
 def log_probability(p: Parameters, near: np.ndarray, target: np.ndarray, sided: np.ndarray | None = None) -> np.ndarray:
@@ -153,10 +175,10 @@ def log_probability(p: Parameters, near: np.ndarray, target: np.ndarray, sided:
         hidden += sided[k].take(near[:, k], 0)
     np.tanh(hidden, out=hidden)
     group, place = target // PLACES, target % PLACES
-    out = _log_share(hidden @ p["group"] + p["group_bias"], group)
+    out = _log_share(_times(hidden, p["group"]) + p["group_bias"], group)
     hidden += p["given"].take(group, 0)
     bias = p["given_bias"] + p["place_bias"]
-    return out + _log_share(hidden @ p["place"] + bias.take(group, 0), place)
+    return out + _log_share(_times(hidden, p["place"]) + bias.take(group, 0), place)
 
 
 def train_step(p: Parameters, near: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -164,20 +186,18 @@ def train_step(p: Parameters, near: np.ndarray, target: np.ndarray, rate: float)
     rows, scale = np.arange(len(target)), np.float32(rate / len(target))
     by_group[rows, group] -= 1
     by_place[rows, place] -= 1
-    to_given = by_place @ p["place"].T
-    to_hidden = (by_group @ p["group"].T + to_given) * (1 - hidden**2)
+    to_given = _times(by_place, p["place"].T)
+    to_hidden = (_times(by_group, p["group"].T) + to_given) * (1 - hidden**2)
     to_words = to_hidden[:, None, :] * p["sides"]
     p["sides"] -= scale * np.einsum("nh,nkh->kh", to_hidden, seen)
     p["bias"] -= scale * to_hidden.sum(0)
-    p["group"] -= scale * (hidden.T @ by_group)
+    p["group"] -= scale * _crossed(hidden, by_group)
     p["group_bias"] -= scale * by_group.sum(0)
-    p["place"] -= scale * (given.T @ by_place)
+    p["place"] -= scale * _crossed(given, by_place)
     p["place_bias"] -= scale * by_place.sum(0)
     # Rows of tables are met by few positions each: they take steps 16 times as long.
-    of_group = np.zeros((GROUPS, len(target)), by_place.dtype)
-    of_group[group, rows] = 16 * scale
-    p["given"] -= of_group @ to_given
-    p["given_bias"] -= of_group @ by_place
+    p["given"] -= 16 * scale * _sums(group, to_given, GROUPS)
+    p["given_bias"] -= 16 * scale * _sums(group, by_place, GROUPS)
     p["words"] -= 16 * scale * _sums(near.ravel(), to_words.reshape(-1, HIDDEN), CODES + 1)
 
 
