@@ -14,6 +14,11 @@ one copy is sent, and of equal surroundings only the smallest id's. So a passage
 a third of all documents costs one row per task. Intermediate tables lie in the
 shared folder.
 
+In a run of one byte all grams tie. Anchors whose surroundings lie inside the run say
+no more than those at its edges and are left out; where 50 bytes of a run go, all of it
+goes, since all its 50-byte strings are equal. Long texts are cut into anchors by
+overlapping pieces, and surroundings are gathered by slices of bounded size.
+
 Ids are distinct; rows that repeat get the same answer. A null or empty text is
 empty, and a row without an id neither loses bytes nor takes them from others.
 """
@@ -39,8 +44,15 @@ SIDE = WINDOW - 1
 AROUND = GRAM + 2 * SIDE
 #: Bytes of text that a task settles at once, and that one part of the work stands for.
 CHUNK_BYTES, PART_BYTES = 8 << 20, 8 << 20
-#: Rows sorted at once.
+#: Rows sorted at once, and surroundings gathered at once.
 SORT_ROWS = 1 << 16
+#: Bytes of a long text that are searched for anchors at once.
+PIECE_BYTES = 1 << 20
+#: Partitions of one shuffle; each holds several parts, one after another, when there are more.
+MOST_PARTITIONS = 20_000
+
+#: Ids are spread by a product modulo a prime, which stays within 64 bits.
+PRIME, FACTOR = (1 << 31) - 1, 1_583_458_089
 
 PACKED = "kind int, part int, ids binary, counts binary, at binary, more binary, body binary"
 
@@ -73,9 +85,46 @@ def anchors(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     pad = np.zeros(WINDOW - 1, U64)
     most = sliding(np.concatenate([pad, least, pad]), WINDOW, np.maximum)
     at = np.flatnonzero(grams == most)
+    at = at[~inside_run(flat, bounds, at)]
     return row[at], at - bounds[row[at]], grams[at]
 
 
+def run_edges(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where runs of one byte begin, none across two texts, and the end of the last."""
+    new = np.ones(len(flat) + 1, bool)
+    np.not_equal(flat[1:], flat[:-1], out=new[1:-1])
+    new[bounds] = True
+    return np.flatnonzero(new)
+
+
+def inside_run(flat: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether all bytes around an anchor belong to one run."""
+    edges = run_edges(flat, bounds)
+    run = np.searchsorted(edges, at, "right") - 1
+    return (at - SIDE >= edges[run]) & (at + GRAM + SIDE <= edges[run + 1])
+
+
+def anchors_by_piece(flat: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """As `anchors`, in bounded memory: each 50-byte string lies in one of a long text's pieces."""
+    if len(bounds) != 2 or len(flat) <= PIECE_BYTES + SPAN:
+        yield anchors(flat, bounds)
+        return
+    for begin in range(0, len(flat) - SPAN + 1, PIECE_BYTES):
+        piece = flat[begin : begin + PIECE_BYTES + SPAN - 1]
+        row, at, grams = anchors(piece, np.array([0, len(piece)]))
+        yield row, at + begin, grams
+
+
+def whole_runs(text: np.ndarray, gone: np.ndarray) -> None:
+    """Mark all of a run in `gone` where SPAN bytes of it in a row are marked."""
+    edges = run_edges(text, np.array([0, len(text)]))
+    long = np.flatnonzero(np.diff(edges) >= SPAN)
+    for a, b in zip(edges[long].tolist(), edges[long + 1].tolist(), strict=True):
+        marks = np.flatnonzero(np.diff(np.concatenate([[0], gone[a:b].view(np.int8), [0]])))
+        if (marks[1::2] - marks[::2] >= SPAN).any():
+            gone[a:b] = True
+
+
 def _pack(kind: int, part: int, ids: np.ndarray, at: np.ndarray, more: np.ndarray | None = None, body: np.ndarray | None = None) -> tuple:
     """One row; ids, which come in runs, are stored once per run."""
     new = np.r_[True, ids[1:] != ids[:-1]]
@@ -113,8 +162,8 @@ def _unpack(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, bytes, bytes]:
 
 
 def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
-    """Part of each document, by its id, as `beside_texts` has it."""
-    return ids % parts
+    """Part of each document, by its id, as `beside_texts` has it; ids may share factors with `parts`."""
+    return ids % PRIME * FACTOR % PRIME % parts
 
 
 def _dealt(kind: int, owner: np.ndarray, ids: np.ndarray, at: np.ndarray, more=None, body=None) -> Iterator[tuple]:
@@ -165,12 +214,12 @@ def find_anchors(parts: int):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             flat, bounds = flatten(batch.column(1))
             for low, high in slices(bounds):
-                row, at, grams = anchors(flat[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
-                held.append((ids[low + row], at, grams))
-                size += int(bounds[high] - bounds[low])
-                if size >= CHUNK_BYTES:
-                    yield _rows(list(settle(*(np.concatenate(x) for x in zip(*held, strict=True)))))
-                    held, size = [], 0
+                for row, at, grams in anchors_by_piece(flat[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low]):
+                    held.append((ids[low + row], at, grams))
+                    size += int(min(bounds[high] - bounds[low], PIECE_BYTES))
+                    if size >= CHUNK_BYTES:
+                        yield _rows(list(settle(*(np.concatenate(x) for x in zip(*held, strict=True)))))
+                        held, size = [], 0
         if held:
             yield _rows(list(settle(*(np.concatenate(x) for x in zip(*held, strict=True)))))
 
@@ -269,23 +318,25 @@ def gather(parts: int):
         owner = (mix(gram) % U64(parts)).astype(np.int64)
         yield from _dealt(0, owner, ids, at, more=clip, body=body)
 
-    def around(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def around(text: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
         padded = np.concatenate([np.zeros(SIDE, np.uint8), text, np.zeros(SIDE, np.uint8)])
-        body = padded[at[:, None] + np.arange(AROUND)]
-        left, right = np.maximum(SIDE - at, 0), np.maximum(at + GRAM + SIDE - len(text), 0)
-        return body, np.stack([left, right], 1).astype(np.uint8)
+        windows = np.lib.stride_tricks.sliding_window_view(padded, AROUND)
+        for k in range(0, len(at), SORT_ROWS):
+            mine = at[k : k + SORT_ROWS]
+            left, right = np.maximum(SIDE - mine, 0), np.maximum(mine + GRAM + SIDE - len(text), 0)
+            yield mine, windows[mine], np.stack([left, right], 1).astype(np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for ids, at, flat, bounds in _with_places(batches):
             if ids is None:
                 continue
-            body, clip = around(flat[bounds[0] : bounds[1]], at)
-            held.append((np.full(len(at), ids), at, body, clip))
-            size += len(at) * AROUND
-            if size >= 4 * CHUNK_BYTES:
-                yield _rows(list(settle(*(np.concatenate(x) for x in zip(*held, strict=True)))))
-                held, size = [], 0
+            for mine, body, clip in around(flat[bounds[0] : bounds[1]], at):
+                held.append((np.full(len(mine), ids), mine, body, clip))
+                size += body.nbytes
+                if size >= 4 * CHUNK_BYTES:
+                    yield _rows(list(settle(*(np.concatenate(x) for x in zip(*held, strict=True)))))
+                    held, size = [], 0
         if held:
             yield _rows(list(settle(*(np.concatenate(x) for x in zip(*held, strict=True)))))
 
@@ -295,6 +346,8 @@ def gather(parts: int):
 def _known(rows: list[dict]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Places, and what goes with them, by document."""
     ids, at, more, _ = _unpack(rows)
+    if not len(ids):
+        return {}
     extra = np.frombuffer(more, np.uint32).astype(np.int64) if more else np.zeros(len(ids), np.int64)
     order = np.lexsort((at, ids))
     ids, at, extra = ids[order], at[order], extra[order]
@@ -333,11 +386,12 @@ def _with_places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 def beside_texts(docs: DataFrame, packed: DataFrame, parts: int) -> DataFrame:
     """Texts and packed rows of one part in one partition, packed rows first."""
-    mixed = F.coalesce(F.pmod("doc_id", F.lit(parts)), F.lit(0)).cast("int")
+    prime = F.lit(PRIME).cast("long")
+    mixed = F.coalesce(F.pmod("doc_id", prime) * FACTOR % prime % parts, F.lit(0)).cast("int")
     none = F.lit(None).cast("binary")
     texts = docs.select(mixed.alias("part"), F.lit(2).alias("kind"), "doc_id", "text", *[none.alias(c) for c in ("ids", "counts", "at", "more")])
     rows = packed.select("part", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "ids", "counts", "at", "more")
-    return texts.unionByName(rows).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    return texts.unionByName(rows).repartition(min(parts, MOST_PARTITIONS), "part").sortWithinPartitions("part", "kind")
 
 
 class Suffixes:
@@ -477,12 +531,12 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
     """Packed removed stretches by part, and the number of parts; `docs` has doc_id and text."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(size // PART_BYTES) + 1
-    found = docs.mapInArrow(find_anchors(parts), PACKED).repartition(parts, "part").sortWithinPartitions("part")
+    found = docs.mapInArrow(find_anchors(parts), PACKED).repartition(min(parts, MOST_PARTITIONS), "part").sortWithinPartitions("part")
     shared = materialize(found.mapInArrow(shared_anchors(parts), PACKED), "anchors")
     del found
     _release(docs)
     around = beside_texts(docs, shared, parts).mapInArrow(gather(parts), PACKED)
-    around = around.repartition(parts, "part").sortWithinPartitions("part")
+    around = around.repartition(min(parts, MOST_PARTITIONS), "part").sortWithinPartitions("part")
     spans = materialize(around.mapInArrow(repeated(parts), PACKED), "repeats")
     del around
     _release(docs)
@@ -499,14 +553,15 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
         size = 0
         for doc_id, found, flat, bounds in _texts(batches):
             text = flat[bounds[0] : bounds[1]]
-            ranges = []
+            gone = np.zeros(len(text), bool)
             if found is not None:
                 _, begins, ends = _windows_to_spans(np.zeros(len(found[0]), np.int64), *found)
-                ranges = list(zip(begins.tolist(), ends.tolist(), strict=True))
-            stay = np.ones(len(text), bool)
-            for a, b in ranges:
-                stay[a:b] = False
-            out.append((doc_id, len(text), [{"begin": a, "end": b} for a, b in ranges], text[stay].tobytes()))
+                for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
+                    gone[a:b] = True
+                whole_runs(text, gone)
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
+            ranges = [{"begin": a, "end": b} for a, b in edges.reshape(-1, 2).tolist()]
+            out.append((doc_id, len(text), ranges, text[~gone].tobytes()))
             size += len(text)
             if size >= CHUNK_BYTES or len(out) >= 5000:
                 yield _answers(out)
