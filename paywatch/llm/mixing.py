@@ -22,6 +22,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paywatch.llm.aside import refuse, set_aside
 from paywatch.session import materialize
 
 #: Leading hex digits of the order hash by which a leaf's prefix is located.
@@ -32,6 +33,9 @@ COARSE = 2
 MOST_SENT, PARTS = 100_000, 64
 WORD = r"[^\x20\x09-\x0D]+"
 LEVELS = ["mix_domain", "mix_lang", "mix_source"]
+#: Columns of the result beside those of the documents, and columns in between.
+ADDED = ["mix_domain", "mix_epoch", "mix_tokens", "mix_taken"]
+INNER = ["mix_lang", "mix_source", "mix_part", "mix_full", "mix_rest", "mix_bucket", "mix_last", "mix_begin", "mix_key", "mix_in", "mix_copies", "mix_before"]
 
 
 def weight_of(name: Column, weights: Mapping[str, int]) -> Column:
@@ -125,9 +129,12 @@ def mix(
     """Rows of `docs`, once per epoch they are drawn in, with `mix_domain`, `mix_epoch`,
     `mix_tokens` and `mix_taken` (tokens drawn; less than all only at the prefix's end).
 
+    Columns of `docs` come out unchanged; one named like one of these four is an error.
     Texts do not move: only rows in the hash bucket where a leaf's prefix ends are
     shuffled. Bucket totals are combined before they are.
     """
+    refuse(docs, ADDED)
+    docs, restore = set_aside(docs, INNER)
     marked = docs.withColumns(
         {
             "mix_domain": F.coalesce(domain, F.lit("")),
@@ -178,5 +185,5 @@ def mix(
         .withColumn("mix_epoch", F.col("mix_full"))
         .withColumn("mix_taken", F.least(F.col("mix_tokens"), F.col("mix_rest") - F.col("mix_before")))
     )
-    columns = [*docs.columns, "mix_domain", "mix_epoch", "mix_tokens", "mix_taken"]
-    return whole.select(*columns).unionByName(end.select(*columns))
+    columns = [F.col(f"`{c}`") for c in (*docs.columns, *ADDED)]
+    return restore(whole.select(*columns).unionByName(end.select(*columns)))

@@ -340,6 +340,17 @@ def groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col:
 
 
 def dedupe(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group of near duplicates, with all columns."""
+    """One document of each group of near duplicates, with all columns.
+
+    Of rows that repeat an id and its text one stays. Rows without an id are not judged
+    and stay; so do different texts under the id that is kept.
+    """
     gone = groups(docs, percent, id_col, text_col).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone.withColumnRenamed("doc_id", id_col), id_col, "left_anti").select(*docs.columns)
+    kept = docs.join(gone.withColumnRenamed("doc_id", id_col), id_col, "left_anti").select(*docs.columns)
+    ids = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("rows"))
+    repeated = materialize(ids.filter("rows > 1").select(id_col), "repeated-ids")
+    if repeated.isEmpty():
+        return kept
+    # Only rows of such ids move; equal ones are combined before they do.
+    once = kept.join(repeated, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col, text_col])
+    return kept.join(repeated, id_col, "left_anti").select(*docs.columns).unionByName(once)

@@ -24,11 +24,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paywatch.llm.aside import set_aside
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bits per key of level 0 and of the others; later levels hold few keys.
 FIRST_BITS, LATER_BITS = 12.0, 2.9
 #: Beyond so many bytes of filters, keys are joined instead of looked up.
 MOST_BYTES = 256 << 20
+#: Names of columns in between; a table's own columns of these names come out unchanged.
+INNER = ("url_keys", "url_h1", "url_h2", "url_place", "url_kind", "url_row", "best")
 
 
 @dataclass(frozen=True)
@@ -148,8 +152,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], default: str
     """`pages` with `host`, `path`, `rule` (longest that fits) and `verdict`.
 
     `rules` are (verdict, rule) pairs, such as ("block", "example.com/de/"); a rule
-    without a path fits none. All columns of `pages` stay; one that has such a name
-    is replaced.
+    without a path fits none. All columns of `pages` stay; one that is named like one of
+    these four is replaced.
     """
     spark = pages.sparkSession
     texts = [rule for _, rule in rules]
@@ -158,9 +162,10 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], default: str
     if any("/" not in rule for rule in texts):
         raise ValueError("A rule needs a path, at least /")
     host, path = parts(F.col("url"))
+    pages, restore = set_aside(pages, INNER)
     judged = pages.withColumns({"host": host, "path": path})
     if not rules:
-        return judged.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+        return restore(judged.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)}))
     judged = judged.withColumn("url_keys", candidate_keys(F.col("host"), F.col("path"), texts))
     universe = judged.select(F.explode("url_keys").alias("key")).distinct().select(*key_hashes(F.col("key"))).persist()
     verdicts = list(dict.fromkeys(verdict for verdict, _ in rules))
@@ -172,7 +177,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], default: str
     finally:
         universe.unpersist()
     if any(cascade is None for cascade in cascades):
-        return _joined(judged, rules, default)
+        return restore(_joined(judged, rules, default))
     lookup = spark.sparkContext.broadcast(cascades)
 
     def first_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,12 +211,13 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], default: str
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in judged.schema)
     found = hashed.mapInArrow(first_listed, f"{schema}, url_place int, url_kind int")
     names = F.array(*[F.lit(v) for v in verdicts])
-    return found.withColumns(
+    found = found.withColumns(
         {
             "rule": F.when(F.col("url_place") > 0, F.element_at("url_keys", F.col("url_place"))),
             "verdict": F.coalesce(F.when(F.col("url_kind") > 0, F.element_at(names, F.col("url_kind"))), F.lit(default)),
         }
-    ).drop("url_keys", "url_place", "url_kind")
+    )
+    return restore(found.drop("url_keys", "url_place", "url_kind"))
 
 
 def _joined(judged: DataFrame, rules: Sequence[tuple[str, str]], default: str) -> DataFrame:

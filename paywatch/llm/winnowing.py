@@ -11,7 +11,7 @@ The items' fingerprints and windows travel to the tasks in blocks of a checked
 size; documents are read once and never shuffled. Null or empty texts have no
 words; items without words, or an empty benchmark, match nothing. An item without
 an id is listed under ''. Repeated rows are judged each. All columns of the
-documents stay.
+documents stay; for `mark`, one named like a column it adds is an error.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paywatch.llm.aside import refuse, set_aside
 from paywatch.llm.flat import BASE, NOT_ALPHANUMERIC, U64, flatten, grams, mix, row_of, slices, words
 
 SPAN, GRAM = 10, 5
 #: Bytes of benchmark text in one block.
 BLOCK_BYTES = 16 << 20
+ADDED = ("n_words", "hit_spans", "hit_items")
 SPANS = "array<struct<begin: int, end: int>>"
 
 
@@ -144,6 +146,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id:
 
     Beyond one block of benchmark text, further blocks follow in the same pass.
     """
+    refuse(docs, ADDED)
     size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     blocks = size // BLOCK_BYTES + 1
     out = docs.withColumns(
@@ -209,5 +212,6 @@ def digest(marked: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **names: str) -> DataFrame:
-    """The documents that hold no window of the benchmark."""
-    return mark(docs, benchmark, **names).filter(F.size("hit_spans") == 0).select(*docs.columns)
+    """The documents that hold no window of the benchmark, with all their columns unchanged."""
+    docs, restore = set_aside(docs, ADDED)
+    return restore(mark(docs, benchmark, **names).filter(F.size("hit_spans") == 0).drop(*ADDED))
