@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paywatch.llm import mixing, quality, slots, superminhash, winnowing
+from paywatch.llm.aside import set_aside
 from paywatch.llm.queries import (
     KEEP_SCORE,
     MIX_EPOCHS,
@@ -26,9 +27,10 @@ SIMILAR_PERCENT = 80
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the threshold."""
+    """Documents whose quality score reaches the threshold; a column quality_score of their own stays."""
+    docs, restore = set_aside(docs, ["quality_score"])
     scored = quality.classify_rows(docs, table(spark, sf_dir, "labels"))
-    return scored.filter(scored["quality_score"] >= KEEP_SCORE).select(*docs.columns)
+    return restore(scored.filter(scored["quality_score"] >= KEEP_SCORE).drop("quality_score"))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +42,14 @@ def keep_clear_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def draw_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents by target weights; one drawn in two epochs comes twice."""
+    """Documents by target weights; one drawn in two epochs comes twice.
+
+    The last document of a leaf's prefix comes whole, so a leaf's tokens may pass its
+    budget by less than one document. Columns of the documents come out unchanged.
+    """
+    docs, restore = set_aside(docs, mixing.ADDED)
     drawn = mixing.mix(docs, domain_of(), MIX_WEIGHTS, MIX_PERCENT, MIX_EPOCHS, MIX_SEED)
-    return drawn.select(*docs.columns)
+    return restore(drawn.drop(*mixing.ADDED))
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
