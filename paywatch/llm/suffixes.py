@@ -97,8 +97,20 @@ def run_edges(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def may_hold_run(flat: np.ndarray) -> bool:
+    """False where no SPAN bytes in a row are equal: of such, two are places of this grid, with equal bytes between."""
+    step = SPAN // 2
+    heads = flat[::step]
+    same = np.flatnonzero(heads[1:] == heads[:-1])
+    for d in range(5, step, 5):
+        same = same[flat[same * step + d] == heads[same]]
+    return len(same) > 0
+
+
 def inside_run(flat: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Whether all bytes around an anchor belong to one run."""
+    if not may_hold_run(flat):
+        return np.zeros(len(at), bool)
     edges = run_edges(flat, bounds)
     run = np.searchsorted(edges, at, "right") - 1
     return (at - SIDE >= edges[run]) & (at + GRAM + SIDE <= edges[run + 1])
@@ -117,6 +129,8 @@ def anchors_by_piece(flat: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.
 
 def whole_runs(text: np.ndarray, gone: np.ndarray) -> None:
     """Mark all of a run in `gone` where SPAN bytes of it in a row are marked."""
+    if not may_hold_run(text):
+        return
     edges = run_edges(text, np.array([0, len(text)]))
     long = np.flatnonzero(np.diff(edges) >= SPAN)
     for a, b in zip(edges[long].tolist(), edges[long + 1].tolist(), strict=True):
