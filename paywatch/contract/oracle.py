@@ -260,6 +260,20 @@ SWEEP = f"""
     )"""
 
 
+SIDES = """,
+  dealt AS (
+    SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY md5(txn_id))
+              <= floor(count(*) OVER (PARTITION BY is_fraud) * 0.2 + 0.5) AS is_test
+    FROM features
+  ),
+  train AS (SELECT * FROM dealt WHERE NOT is_test),
+  test AS (SELECT * FROM dealt WHERE is_test)
+"""
+DECISIONS = on_scored(
+    f"{SIDES} SELECT txn_id, is_fraud, true AS in_range, true AS as_expected, true AS flag_agrees, "
+    "true AS tier_agrees FROM test"
+)
+
 LOOKUP = 'txn_id, "timestamp", sender_vpa, amount, fraud_probability, fraud_flag, risk_tier'
 
 
@@ -585,6 +599,25 @@ def all_oracles() -> dict[str, str]:
             "SELECT txn_id, CAST(row_number() OVER (PARTITION BY is_fraud ORDER BY md5(txn_id)) "
             "<= floor(count(*) OVER (PARTITION BY is_fraud) * 0.2 + 0.5) AS INTEGER) AS is_test FROM raw"
         ),
+        "m3_m4_logistic_fit": on_scored(
+            f"{SIDES} "
+            + " UNION ALL ".join(
+                f"SELECT '{name}' AS feature, {rounded(f'avg(CAST({name} AS DOUBLE))', 3)} AS mean, "
+                f"{rounded(f'stddev_samp(CAST({name} AS DOUBLE))', 3)} AS deviation, true AS at_optimum FROM train"
+                for name in FEATURE_COLUMNS
+            )
+            + " UNION ALL SELECT '(intercept)', 0.0::DOUBLE, 1.0::DOUBLE, true"
+        ),
+        "m6_m7_logistic_decisions": DECISIONS,
+        "m5_s8_trees_decisions": DECISIONS,
+        "m8_s4_importance_shares": "SELECT unnest(["
+        + ", ".join(f"'{name}'" for name in FEATURE_COLUMNS)
+        + "]) AS feature, true AS is_share, true AS adds_up",
+        "e8_s9_t5_report_cells": on_scored(
+            f"{SIDES} SELECT unnest(['logistic_regression', 'boosted_trees']) AS model, count(*) AS rows, "
+            "CAST(sum(is_fraud) AS BIGINT) AS frauds, true AS measures_follow, true AS areas_in_range, "
+            "true AS threshold_in_range, true AS top_five FROM test"
+        ),
         "z1_daily_trend_stream": f"SELECT * FROM ({DAILY}) WHERE "
         "txn_date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR",
         "z1_weekly_rate_stream": f"SELECT * FROM ({WEEKLY}) WHERE "

@@ -6,14 +6,14 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paywatch.functions import micros, ratio, risk_tier, round_half_up
 from paywatch.operators import HeavyRule, add_trailing
 from paywatch.operators.deviation import attach_zscore, zscore_lookup
 from paywatch.plans import evaluation, exploration, kpis, operations, training
-from paywatch.plans.decision import RiskDecision
+from paywatch.plans.decision import RiskDecision, threshold_of
 from paywatch.plans.features import (
     AMOUNT,
     HISTORY_30D,
@@ -23,7 +23,7 @@ from paywatch.plans.features import (
     build_features,
 )
 from paywatch.plans.scoring import RULE_INPUTS, rule_score, score, scoring_summary
-from paywatch.schema import DERIVED, FEATURE_COLUMNS, FEATURES, LABEL
+from paywatch.schema import DERIVED, FEATURE_COLUMNS, FEATURES, LABEL, REPORT
 from paywatch.session import materialize, scratch_path
 from paywatch.sources import (
     read_features,
@@ -308,32 +308,131 @@ def _inputs(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(wanted, "model-inputs")
 
 
-def logistic_scores(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = training.split(_inputs(spark, folder))
-    return score(test, training.train_logistic(train))
+#: Folders of the models fitted so far, by session and input folder.
+_FITTED: dict[tuple[str, str], str] = {}
 
 
-def trees_scores(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = training.split(_inputs(spark, folder))
-    model = training.train_trees(*training.split_validation(train))
-    path = scratch_path(spark, "trees")
-    training.save_model(model, path)
-    return score(test, training.load_model(path))
+def _inputs_and_models(spark: SparkSession, folder: str) -> str:
+    """A folder with `inputs`, `logistic`, `trees`, `importances` and `report` of one training run.
+
+    The run is made once a session and input folder; the queries below read what it saved.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _FITTED:
+        inputs = _inputs(spark, folder)
+        run = training.train_and_compare(inputs)
+        path = scratch_path(spark, "models")
+        write_table(inputs, f"{path}/inputs")
+        training.save_model(run.logistic, f"{path}/logistic")
+        training.save_model(run.trees, f"{path}/trees")
+        write_table(run.importances, f"{path}/importances", "csv")
+        write_table(run.report, f"{path}/report", "csv")
+        _FITTED[key] = path
+    return _FITTED[key]
+
+
+def _sides(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    return training.split(spark.read.parquet(f"{path}/inputs"))
+
+
+def _model_scores(name: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = _inputs_and_models(spark, folder)
+        return score(_sides(spark, path)[1], training.load_model(f"{path}/{name}"))
+
+    return run
+
+
+logistic_scores, trees_scores = _model_scores("logistic"), _model_scores("trees")
+
+
+def _decisions(test: DataFrame, model: PipelineModel, expected: Column) -> DataFrame:
+    """Per test row, whether probability, flag and tier are what they should be."""
+    p = F.col("fraud_probability")
+    return score(test, model).select(
+        "txn_id",
+        LABEL,
+        p.between(0, 1).alias("in_range"),
+        (F.abs(p - expected) < 1e-9).alias("as_expected"),
+        (F.col("fraud_flag") == (p >= threshold_of(model)).cast("int")).alias("flag_agrees"),
+        (F.col("risk_tier") == F.when(p >= 0.7, "HIGH").when(p >= 0.4, "MEDIUM").otherwise("LOW")).alias(
+            "tier_agrees"
+        ),
+    )
+
+
+def logistic_decisions(spark: SparkSession, folder: str) -> DataFrame:
+    """The saved model's decisions against its formula written out."""
+    path = _inputs_and_models(spark, folder)
+    model = training.load_model(f"{path}/logistic")
+    return _decisions(_sides(spark, path)[1], model, training.logistic_probability(model))
+
+
+def trees_decisions(spark: SparkSession, folder: str) -> DataFrame:
+    """The saved model's decisions against the weighted sum of its trees' leaves, written out."""
+    path = _inputs_and_models(spark, folder)
+    model = training.load_model(f"{path}/trees")
+    test = training.with_rounds(_sides(spark, path)[1], model, "_rounds")
+    chance = F.lit(1.0) / (F.lit(1.0) + F.exp(-2 * F.element_at("_rounds", -1)))
+    return _decisions(test, model, chance)
+
+
+def logistic_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """Moments of the training rows as the model holds them, and whether it is at its optimum."""
+    path = _inputs_and_models(spark, folder)
+    model = training.load_model(f"{path}/logistic")
+    slopes = dict(training.logistic_gradient(model, _sides(spark, path)[0]))
+    rows = [(name, mean, sd, abs(slopes[name]) < 1e-4) for name, mean, sd, _ in training.logistic_terms(model)]
+    fitted = spark.createDataFrame(rows, "feature string, mean double, deviation double, at_optimum boolean")
+    return fitted.withColumns({name: round_half_up(F.col(name), 3) for name in ("mean", "deviation")})
 
 
 def tree_importances(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = training.split(_inputs(spark, folder))
-    model = training.train_trees(*training.split_validation(train))
-    path = scratch_path(spark, "importances")
-    write_table(training.importances(spark, model), path, "csv")
-    return read_importances(spark, path).orderBy(F.desc("importance_gain"), "feature")
+    saved = read_importances(spark, f"{_inputs_and_models(spark, folder)}/importances")
+    return saved.orderBy(F.desc("importance_gain"), "feature")
+
+
+def importance_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Every feature's importance is a share, and the shares add up to 1."""
+    gain = F.col("importance_gain")
+    whole = tree_importances(spark, folder).agg(F.sum("importance_gain")).head()[0]
+    return tree_importances(spark, folder).select(
+        "feature", gain.between(0, 1).alias("is_share"), F.lit(abs(whole - 1) < 1e-9).alias("adds_up")
+    )
 
 
 def model_report(spark: SparkSession, folder: str) -> DataFrame:
-    report = training.train_and_compare(features(spark, folder)).report
-    path = scratch_path(spark, "report")
-    write_table(report, path, "csv")
-    return read_table(spark, path, report.schema, "csv")
+    return read_table(spark, f"{_inputs_and_models(spark, folder)}/report", REPORT, "csv")
+
+
+def report_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The report held against the test rows: cells that add up, measures that follow from
+    them, areas in their range, and the five strongest features."""
+    report = model_report(spark, folder)
+    names = ["tn", "fp", "fn", "tp", "precision", "recall", "f1", "roc_auc", "average_precision", "pr_auc", "threshold"]
+    cells = report.where(F.col("model") != "importance").groupBy("model").agg(
+        *[F.max(F.when(F.col("metric") == name, F.col("value"))).alias(name) for name in names]
+    )
+    tn, fp, fn, tp = (F.col(name) for name in names[:4])
+    follows = {"precision": (tp, tp + fp), "recall": (tp, tp + fn), "f1": (2 * tp, 2 * tp + fp + fn)}
+    agree = [
+        F.abs(F.col(name) - F.coalesce(F.try_divide(part, whole), F.lit(0.0))) < 1e-9
+        for name, (part, whole) in follows.items()
+    ]
+    strongest = tree_importances(spark, folder).limit(5).select("feature", "importance_gain")
+    named = report.where(F.col("model") == "importance").select("metric", "value")
+    top_five = named.count() == 5 and not named.exceptAll(strongest).take(1)
+    return cells.select(
+        "model",
+        (tn + fp + fn + tp).cast("bigint").alias("rows"),
+        (tp + fn).cast("bigint").alias("frauds"),
+        (agree[0] & agree[1] & agree[2]).alias("measures_follow"),
+        (
+            F.col("roc_auc").between(0, 1) & F.col("average_precision").between(0, 1) & F.col("pr_auc").between(0, 1)
+        ).alias("areas_in_range"),
+        F.col("threshold").between(0, 1).alias("threshold_in_range"),
+        F.lit(top_five).alias("top_five"),
+    )
 
 
 def split_marks(spark: SparkSession, folder: str) -> DataFrame:
@@ -512,6 +611,11 @@ def all_queries() -> dict[str, Query]:
         "m5_s8_trees_scores": trees_scores,
         "m8_s4_importances": tree_importances,
         "e8_s9_model_report": model_report,
+        "m3_m4_logistic_fit": logistic_fit,
+        "m6_m7_logistic_decisions": logistic_decisions,
+        "m5_s8_trees_decisions": trees_decisions,
+        "m8_s4_importance_shares": importance_shares,
+        "e8_s9_t5_report_cells": report_cells,
         "z1_daily_trend_stream": _stream(daily_trend_stream, "daily"),
         "z1_weekly_rate_stream": _stream(weekly_rate_stream, "weekly"),
         "z2_rolling_rate_stream": _stream(rolling_rate_stream, "rolling"),

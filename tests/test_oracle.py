@@ -1,10 +1,14 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import functools
+
 import pytest
 from oracle_check import compare, database
 
+from paywatch.contract import queries
 from paywatch.contract.oracle import all_oracles
 from paywatch.contract.queries import all_queries
+from paywatch.plans import training
 
 FOLDER = "/root/testdata/sf0.001"
 ORACLES = all_oracles()
@@ -25,6 +29,15 @@ def test_sql_names_belong_to_queries():
     }
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_rounds():
+    """Models of five rounds here, for time; test_training holds the queries to all rounds."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(queries, "_FITTED", {})
+        patch.setattr(training, "train_and_compare", functools.partial(training.train_and_compare, rounds=5))
+        yield
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     assert compare(spark, con, all_queries()[name], ORACLES[name], FOLDER) is None

@@ -106,11 +106,47 @@ def test_class_weights(inputs):
 
 
 def test_rounds_to_keep():
-    assert training.rounds_to_keep([5, 4, 3, 3.5, 3.6]) == 3
-    assert training.rounds_to_keep([5, 4, 4.1, 4.2, 1], patience=2) == 2
+    assert training.rounds_to_keep([0.5, 0.6, 0.7, 0.65, 0.7]) == 3
+    assert training.rounds_to_keep([0.5, 0.6, 0.5, 0.4, 0.9], patience=2) == 2
     assert training.rounds_to_keep([1]) == 1
 
 
+def test_areas_of_all_rounds_like_one_round_at_a_time(inputs, trained, monkeypatch):
+    """The rounds' areas from one pass against cut models, each scored and measured alone."""
+    monkeypatch.setattr(training, "TREES_AT_ONCE", 2)
+    train, test = training.split(inputs)
+    model = training._trees(5).fit(train.withColumn("_weight", F.lit(1.0)))
+    got = training.areas_by_round(test, model)
+    each = [ranking_measures(score(test, training.first_trees(model, k))).head().average_precision for k in range(1, 6)]
+    assert got == pytest.approx(each, abs=1e-3)
+    monkeypatch.setattr(training, "MARGIN_STEP", 1e-12)
+    assert training.areas_by_round(test, model) == pytest.approx(each, abs=1e-9)
+    assert training.areas_by_round(test.limit(0), model) == []
+
+
+def test_margins_are_those_of_the_model(inputs, trained):
+    _, trees, test = trained
+    marked = training.with_rounds(test, trees, "rounds")
+    assert marked.columns == [*test.columns, "rounds"]
+    chance = 1 / (1 + F.exp(-2 * F.element_at("rounds", -1)))
+    both = score(marked, trees).select(F.max(F.abs(chance - F.col("fraud_probability")))).head()[0]
+    assert both < 1e-12
+    sizes = marked.select(F.size("rounds")).distinct().collect()
+    assert [r[0] for r in sizes] == [trees.stages[-1].getNumTrees]
+
+
+def test_logistic_model_is_at_its_optimum(inputs):
+    train, test = training.split(inputs)
+    model = training.train_logistic(train)
+    slopes = dict(training.logistic_gradient(model, train))
+    assert set(slopes) == {*FEATURE_COLUMNS, training.INTERCEPT}
+    assert max(abs(slope) for slope in slopes.values()) < 1e-4
+    early = training.train_logistic(train, max_iter=2)
+    assert max(abs(slope) for _, slope in training.logistic_gradient(early, train)) > 1e-3
+    written = score(test, model).select(F.max(F.abs(training.logistic_probability(model) - F.col("fraud_probability"))))
+    assert written.head()[0] < 1e-12
+
+
 def test_model_cut_to_its_first_trees(inputs, trained, tmp_path):
     _, trees, test = trained
     rounds = trees.stages[-1].getNumTrees
@@ -130,6 +166,7 @@ def test_registered_queries_fit_all_rounds(spark, monkeypatch, query):
     def asked(rounds):
         raise RuntimeError(f"{rounds} rounds")
 
+    monkeypatch.setattr(queries, "_FITTED", {})
     monkeypatch.setattr(training, "_trees", asked)
     monkeypatch.setattr(training, "train_logistic", lambda train: None)
     with pytest.raises(RuntimeError, match=f"{training.ROUNDS} rounds"):
