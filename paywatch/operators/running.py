@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ def running(
     at: str,
     measures: Mapping[str, str],
     inclusive: bool,
+    widths: Sequence[int] = (),
 ) -> DataFrame:
     """Fold each measure over the rows of the same keys up to `at`.
 
@@ -25,25 +26,34 @@ def running(
                decrease as `at` grows. Each (keys, bucket) is one window group.
     inclusive  True: rows at the same `at` count; False: strictly before
                (`at` then has to be an integer type).
+    widths     where the buckets of one group are too many for a task: widths, in
+               units of an integer `bucket`, of ever coarser buckets. Totals are
+               then folded within each coarser bucket and over the coarsest.
 
     The buckets before a row are not read again: each bucket's total is taken
     with a combining aggregate, the totals are folded over the buckets of the
-    keys (one row per bucket) and the outcome enters the bucket as one more row
+    keys (one row per bucket), level by level, and the outcome enters the bucket as one more row
     in front of it. `at` of the events must not be null.
     """
     totals = events.groupBy(*keys, bucket).agg(
         *[FOLDS[how](name).alias(name) for name, how in measures.items()]
     )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(bucket)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = totals.select(
-        *keys,
-        bucket,
-        *[FOLDS[how](name).over(earlier).alias(name) for name, how in measures.items()],
-    )
+    if widths:
+        above = f"{bucket}_above"
+        coarser = totals.withColumn(above, F.col(bucket) - F.pmod(F.col(bucket), F.lit(widths[0])))
+        carried = running(coarser, keys, above, bucket, measures, False, widths[1:])
+        carried = carried.select(*keys, bucket, *measures)
+    else:
+        earlier = (
+            Window.partitionBy(*keys)
+            .orderBy(bucket)
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        carried = totals.select(
+            *keys,
+            bucket,
+            *[FOLDS[how](name).over(earlier).alias(name) for name, how in measures.items()],
+        )
     # Null sorts first, so the carried row is in every frame of its bucket.
     together = events.unionByName(carried, allowMissingColumns=True)
     frame = (

@@ -18,9 +18,11 @@ from paywatch.operators.heavy import (
 )
 from paywatch.operators.running import running
 
-# Window groups of a heavy key: at most this long, hence at most 6e7 distinct
-# microseconds, each one narrow row after rows of the same instant are combined.
+# Window groups of a heavy key: at most this long. A bucket with too many instants is
+# cut into PARTS: a quarter of a second has at most 250,000 distinct microseconds, each
+# one narrow row, and one more per width, after rows of the same instant are combined.
 BUCKET = timedelta(minutes=1)
+PARTS = 240
 
 
 @dataclass(frozen=True)
@@ -64,6 +66,22 @@ def trailing_windowed(
     return df.withColumns(added)
 
 
+def bucketed(events: DataFrame, length: int, rule: HeavyRule) -> DataFrame:
+    """`_bucket`: where the range of `length` around `_when` starts, or the part of it
+    where a key has more rows in that range than the rule's floor."""
+    part = -(-length // PARTS)
+    into = F.pmod(F.col("_when"), F.lit(length))
+    marked = events.withColumn("_bucket", F.col("_when") - into)
+    crowded = busy_instants(marked, "_key", "_bucket", rule).drop("_copies")
+    same = F.col("_key").eqNullSafe(F.col("_busy_key")) & (F.col("_bucket") == F.col("_busy_at"))
+    inner = F.when(F.col("_busy_at").isNotNull(), into - F.pmod(into, F.lit(part))).otherwise(0)
+    return (
+        marked.join(F.broadcast(crowded), same, "left")
+        .withColumn("_bucket", F.col("_bucket") + inner)
+        .drop("_busy_key", "_busy_at")
+    )
+
+
 def trailing_lookup(
     df: DataFrame,
     key: str,
@@ -71,12 +89,14 @@ def trailing_lookup(
     value: str,
     specs: Sequence[Trailing],
     bucket: timedelta = BUCKET,
+    rule: HeavyRule = HeavyRule(),
 ) -> DataFrame:
     """Split form, for keys of any size: one row per (key, instant) to join back.
 
     Rows of one instant are combined first. An instant adds its count and sum at
     `at` and takes them away again at `at + width`, so the trailing value is the
-    running total of these changes before the row.
+    running total of these changes before the row. Buckets with more changes than
+    the rule's floor are cut into parts; their list is bounded like the heavy keys.
     """
     instants = df.groupBy(key, at).agg(
         F.count(value).alias("_n"), F.coalesce(F.sum(value), F.lit(0)).alias("_s")
@@ -101,9 +121,8 @@ def trailing_lookup(
         change(F.col(at) + F.lit(spec.width_us), i) for i, spec in enumerate(specs)
     ]
     length = bucket // timedelta(microseconds=1)
-    events = instants.select(
-        F.col(key).alias("_key"), F.inline(F.array(*changes))
-    ).withColumn("_bucket", F.floor(F.col("_when") / F.lit(length)))
+    events = instants.select(F.col(key).alias("_key"), F.inline(F.array(*changes)))
+    events = bucketed(events, length, rule)
 
     sums = {name: "sum" for _, name, _, _ in measured}
     folded = running(events, ["_key"], "_bucket", "_when", sums, inclusive=False)
@@ -146,7 +165,7 @@ def add_trailing(
     `at` is an integer column of microseconds, see `functions.micros`.
     """
     ordinary, heavy = split_heavy(df, key, heavy_keys(df, key, rule))
-    lookup = trailing_lookup(heavy, key, at, value, specs)
+    lookup = trailing_lookup(heavy, key, at, value, specs, rule=rule)
     return trailing_windowed(ordinary, key, at, value, specs).unionByName(
         attach_trailing(heavy, lookup, busy_instants(heavy, key, at, rule), key, at, specs)
     )

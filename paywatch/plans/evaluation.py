@@ -25,9 +25,11 @@ SCORE = "fraud_probability"
 SWEEP_GRID = tuple(0.1 + i * 0.8 / 79 for i in range(80))
 DEFAULT_THRESHOLD = 0.5
 
-# Size of a bucket of distinct scores, and the most cuts handed to the executors.
+# Size of a bucket of distinct scores; the most buckets cut at once; and into how many
+# each is cut again, as often as it takes, where these are still too large.
 SCORES_PER_BUCKET = 1_000_000
-MOST_BUCKETS = 16_384
+MOST_CUTS = 16_384
+FAN = 64
 
 
 def _bucketed(df: DataFrame, score: str, edges: Sequence[float], out: str) -> DataFrame:
@@ -56,20 +58,57 @@ def score_counts(df: DataFrame, score: str = SCORE, label: str = LABEL) -> DataF
 
 
 def curve(
-    df: DataFrame, score: str = SCORE, label: str = LABEL, buckets: int | None = None
+    df: DataFrame,
+    score: str = SCORE,
+    label: str = LABEL,
+    buckets: int | None = None,
+    size: int = SCORES_PER_BUCKET,
+    most: int = MOST_CUTS,
+    fan: int = FAN,
 ) -> DataFrame:
     """(score, pos, neg, tp, fp) per distinct score: tp and fp count the rows with
-    this score or a higher one. `buckets` follows from the number of scores."""
-    return _curve_of(materialize(score_counts(df, score, label), "score-counts"), buckets)
+    this score or a higher one.
 
-
-def _curve_of(counts: DataFrame, buckets: int | None = None) -> DataFrame:
+    `buckets` follows from the number of distinct scores and the `size` of a bucket. Beyond
+    `most`, each bucket is cut again into `fan`, until they are small enough, so no task
+    takes more than about `size` scores or `most` totals, however many there are.
+    """
+    counts = materialize(score_counts(df, score, label), "score-counts")
+    return _curve_of(counts, buckets, size, most, fan)
+
+
+def _banded(counts: DataFrame, buckets: int, most: int, fan: int) -> tuple[DataFrame, list[int]]:
+    """`counts` with the bucket of each score in `_band`, and the widths of its coarser buckets."""
+    there = min(most, buckets)
+    shares = [i / there for i in range(1, there)]
+    cuts = counts.approxQuantile("score", shares, 1 / (4 * there)) if shares else []
+    banded = _bucketed(counts, "score", sorted(set(cuts)), "_band")
+    banded = banded.withColumn("_band", F.col("_band").cast("bigint"))
+    widths = []
+    while there < buckets:
+        inner = F.percentile_approx("score", [i / fan for i in range(1, fan)], 4 * fan)
+        inside = banded.groupBy("_band").agg(inner.alias("_cuts"))
+        if not widths:
+            inside = F.broadcast(inside)  # at most `most` rows of `fan` numbers
+        passed = F.size(F.filter("_cuts", lambda cut: cut < F.col("score")))
+        banded = banded.join(inside, "_band").withColumn("_band", F.col("_band") * fan + passed)
+        banded = banded.drop("_cuts")
+        there *= fan
+        widths.append(fan ** (len(widths) + 1))
+    return banded, widths
+
+
+def _curve_of(
+    counts: DataFrame,
+    buckets: int | None = None,
+    size: int = SCORES_PER_BUCKET,
+    most: int = MOST_CUTS,
+    fan: int = FAN,
+) -> DataFrame:
     if buckets is None:
-        buckets = min(MOST_BUCKETS, 1 + counts.count() // SCORES_PER_BUCKET)
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = counts.approxQuantile("score", shares, 1 / (4 * buckets)) if shares else []
-    marked = _bucketed(counts, "score", sorted(set(cuts)), "_band")
-    events = marked.select(
+        buckets = 1 + counts.count() // size
+    banded, widths = _banded(counts, buckets, most, fan)
+    events = banded.select(
         "score",
         "pos",
         "neg",
@@ -79,7 +118,7 @@ def _curve_of(counts: DataFrame, buckets: int | None = None) -> DataFrame:
         (-F.col("score")).alias("_falling"),
     )
     totals = running(
-        events, [], "_band", "_falling", {"tp": "sum", "fp": "sum"}, inclusive=True
+        events, [], "_band", "_falling", {"tp": "sum", "fp": "sum"}, inclusive=True, widths=widths
     )
     return totals.select("score", "pos", "neg", "tp", "fp")
 

@@ -170,7 +170,7 @@ def build_features(
         # the windows on the sender and a second column.
         if specs:
             ordinary = trailing_windowed(ordinary, SENDER, "_at", AMOUNT, specs)
-            lookup = trailing_lookup(heavy_rows, SENDER, "_at", AMOUNT, specs)
+            lookup = trailing_lookup(heavy_rows, SENDER, "_at", AMOUNT, specs, rule=rule)
             heavy = attach_trailing(heavy, lookup, busy, SENDER, "_at", specs)
         if spread:
             ordinary = zscore_windowed(ordinary, SENDER, AMOUNT, "amount_zscore")

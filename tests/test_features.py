@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from paywatch.functions import micros
 from paywatch.operators import HeavyRule, Trailing, add_first_seen, add_trailing, add_usual_mismatch
 from paywatch.operators.heavy import busy_instants, heavy_keys
-from paywatch.operators.trailing import attach_trailing, trailing_lookup
+from paywatch.operators.trailing import attach_trailing, bucketed, trailing_lookup
 from paywatch.plans.features import (
     USUAL,
     add_amount_shape,
@@ -187,11 +187,12 @@ def test_features_against_plain_loops(payments, seed, rule):
         assert mine.usual_device_mismatch == int(bool(best) and best[2] != row["device_id"])
 
 
+@pytest.mark.parametrize("floor", [0, 3, 10_000])
 @pytest.mark.parametrize("bucket", [timedelta(seconds=1), timedelta(hours=7), timedelta(days=400)])
-def test_bucket_length_does_not_matter(payments, bucket):
+def test_bucket_length_does_not_matter(payments, bucket, floor):
     df = payments(*history(payments, 5)).withColumn("_at", micros(F.col("timestamp")))
     specs = [Trailing(timedelta(hours=1), "n1"), Trailing(timedelta(days=2), "n2", "total")]
-    lookup = trailing_lookup(df, "sender_vpa", "_at", "amount", specs, bucket)
+    lookup = trailing_lookup(df, "sender_vpa", "_at", "amount", specs, bucket, HeavyRule(floor=floor))
     busy = busy_instants(df, "sender_vpa", "_at", HeavyRule(floor=2))
     assert busy.count() > 0
     split = attach_trailing(df, lookup, busy, "sender_vpa", "_at", specs)
@@ -200,6 +201,18 @@ def test_bucket_length_does_not_matter(payments, bucket):
         assert column(split, name) == column(window, name)
 
 
+def test_a_crowded_minute_is_cut(spark):
+    """All rows of one key in one minute: no group holds more than a quarter second's."""
+    minute, events = 60_000_000, spark.range(6000).selectExpr("'a' AS _key", "60000000 + id * 10000 AS _when")
+    events = events.unionByName(spark.sql("SELECT 'b' AS _key, 60000000L AS _when"))
+    cut = bucketed(events, minute, HeavyRule(floor=1000)).cache()
+    sizes = {(r._key, r._bucket): r["count"] for r in cut.groupBy("_key", "_bucket").count().collect()}
+    assert max(sizes.values()) == 25 and sum(sizes.values()) == 6001 and len(sizes) == 241
+    assert cut.where("_bucket > _when OR _bucket + 250000 <= _when").count() == 0
+    whole = bucketed(events, minute, HeavyRule())
+    assert whole.select("_key", "_bucket").distinct().count() == 2
+
+
 def test_result_does_not_depend_on_partitioning(payments):
     df = payments(*history(payments, 9, rows=120))
 

@@ -167,3 +167,35 @@ def test_running_against_plain_loops(spark, inclusive, width):
         ]
         assert row.v == (sum(seen) if seen else None)
         assert row.top == max(seen, default=None)
+
+
+def test_running_totals_over_levels(spark):
+    df = spark.range(400).selectExpr(
+        "id % 2 AS k", "id - 200 AS at", "id % 7 AS v", "(id * 37) % 101 AS top",
+        "id - 200 - pmod(id - 200, 3) AS bucket",
+    )
+    measures = {"v": "sum", "top": "max"}
+    for inclusive in (True, False):
+        flat = running(df, ["k"], "bucket", "at", measures, inclusive)
+        tall = running(df, ["k"], "bucket", "at", measures, inclusive, widths=(9, 45, 180))
+        columns = ["k", "at", "v", "top"]
+        assert sorted(map(str, flat.select(columns).collect())) == sorted(map(str, tall.select(columns).collect()))
+
+
+def test_curve_cuts_buckets_again(spark, monkeypatch):
+    from paywatch.plans import evaluation
+
+    used, cut = [], evaluation._banded
+
+    def watched(*given):
+        banded, widths = cut(*given)
+        sizes = [r["count"] for r in banded.groupBy("_band").count().collect()]
+        used.append((widths, max(sizes)))
+        return banded, widths
+
+    monkeypatch.setattr(evaluation, "_banded", watched)
+    df = scores(spark, crowded(5, 900))
+    once = sorted(curve(df, buckets=1).collect())
+    assert sorted(curve(df, size=10, most=4, fan=4).collect()) == once
+    widths, largest = used[-1]
+    assert widths == [4, 16] and largest <= 40

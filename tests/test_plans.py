@@ -6,7 +6,7 @@ import pytest
 from conftest import BOTH_FORMS
 
 from paywatch.contract import queries
-from paywatch.plans import evaluation, kpis, operations
+from paywatch.plans import evaluation, exploration, kpis, operations
 from paywatch.plans.features import build_features
 from paywatch.sources import write_lookup_table
 
@@ -78,6 +78,17 @@ def test_days_are_filled_in_one_scan(spark):
     assert len(re.findall(r"FileScan parquet", plan)) == 1
 
 
+def test_correlations_take_one_scan(spark):
+    rows = queries.raw(spark, FOLDER)
+    for found in (
+        exploration.correlation_matrix(rows, ["amount", "device_mismatch", "geo_anomaly", "is_fraud"]),
+        exploration.label_correlation(rows, ["amount", "device_mismatch", "geo_anomaly"]),
+    ):
+        plan = executed(found)
+        assert len(re.findall(r"FileScan parquet", plan)) == 1
+        assert "partial_covar_pop" in plan
+
+
 def scanned(df):
     """Rows that came out of the scan, after files and row groups were skipped."""
     df.collect()
