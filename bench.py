@@ -49,6 +49,8 @@ HEADLINE = [
     "e1_e3_fine_score",
     "e5_e6_confusion",
     "e7_threshold_sweep",
+    "w5_curve",
+    "a16_correlation_matrix",
 ]
 
 WARM_UP = ["f18_build_features", "k1_overall_kpis"]
