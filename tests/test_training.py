@@ -135,6 +135,36 @@ def test_margins_are_those_of_the_model(inputs, trained):
     assert [r[0] for r in sizes] == [trees.stages[-1].getNumTrees]
 
 
+def test_margins_are_one_function_whatever_the_rounds(inputs, capsys):
+    """The plan does not grow with the rounds."""
+    model = training._trees(3).fit(inputs.withColumn("_weight", F.lit(1.0)))
+    plans = []
+    for kept in (1, 3):
+        training.with_rounds(inputs, training.first_trees(model, kept), "rounds").explain()
+        plans.append(capsys.readouterr().out)
+    assert plans[0].count("UDF(") == plans[1].count("UDF(") and "ArrowEvalPython" in plans[0]
+
+
+def test_margins_of_missing_features_are_those_of_the_model(spark, trained):
+    _, trees, test = trained
+    broken = test.limit(50).withColumns({name: F.lit(None).cast("double") for name in ("amount_log", "device_mismatch")})
+    chance = 1 / (1 + F.exp(-2 * F.element_at("rounds", -1)))
+    both = score(training.with_rounds(broken, trees, "rounds"), trees)
+    assert both.select(F.max(F.abs(chance - F.col("fraud_probability")))).head()[0] < 1e-12
+    assert training.with_rounds(test.limit(0), trees, "rounds").collect() == []
+
+
+def test_many_rows_are_dealt_out_evenly(spark, monkeypatch):
+    rows = spark.range(1000).withColumn("part", F.when(F.col("id") < 900, 0).otherwise(F.col("id"))).repartition(7, "part")
+    assert training._evenly(rows) is rows
+    monkeypatch.setattr(training, "EVEN_FROM", 1000)
+    monkeypatch.setattr(training, "ROWS_PER_PART", 130)
+    sizes = training._evenly(rows).groupBy(F.spark_partition_id()).count().collect()
+    cores = spark.sparkContext.defaultParallelism
+    assert len(sizes) == 2 * cores and max(n for _, n in sizes) - min(n for _, n in sizes) <= 2 * cores
+    assert training._evenly(rows).exceptAll(rows).count() == 0
+
+
 def test_logistic_model_is_at_its_optimum(inputs):
     train, test = training.split(inputs)
     model = training.train_logistic(train)
