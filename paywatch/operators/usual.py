@@ -22,28 +22,39 @@ from paywatch.operators.trailing import BUCKET
 # no history and is none.
 
 
-def usual_windowed(df: DataFrame, key: str, attribute: str, at: str, out: str) -> DataFrame:
-    """Window form; reuses a partitioning by `key`."""
+def with_uses(df: DataFrame, key: str, attribute: str, at: str, uses: str) -> DataFrame:
+    """First half of the window form: the key's rows with this attribute up to each row."""
     so_far = (
         Window.partitionBy(key, attribute)
         .orderBy(at)
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    return df.withColumn(uses, F.count(at).over(so_far))
+
+
+def usual_of_uses(
+    df: DataFrame, key: str, attribute: str, at: str, uses: str, out: str
+) -> DataFrame:
+    """Second half, in the order of the key and `at` alone."""
     before = (
         Window.partitionBy(key).orderBy(at).rangeBetween(Window.unboundedPreceding, -1)
     )
     standing = F.when(
         F.col(at).isNotNull(),
-        F.struct(F.col("_uses"), F.col(at), F.col(attribute).alias("_attribute")),
+        F.struct(F.col(uses).alias("_uses"), F.col(at), F.col(attribute).alias("_attribute")),
     )
     return (
-        df.withColumn("_uses", F.count(at).over(so_far))
-        .withColumn("_usual", F.max(standing).over(before))
+        df.withColumn("_usual", F.max(standing).over(before))
         .withColumn(out, _differs(attribute))
-        .drop("_uses", "_usual")
+        .drop(uses, "_usual")
     )
 
 
+def usual_windowed(df: DataFrame, key: str, attribute: str, at: str, out: str) -> DataFrame:
+    """Window form; reuses a partitioning by `key`."""
+    return usual_of_uses(with_uses(df, key, attribute, at, "_uses"), key, attribute, at, "_uses", out)
+
+
 def _differs(attribute: str):
     known = F.col("_usual").isNotNull()
     same = F.col(attribute).eqNullSafe(F.col("_usual._attribute"))

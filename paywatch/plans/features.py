@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paywatch.functions import NIGHT_END_HOUR, NIGHT_START_HOUR, micros
@@ -35,7 +35,7 @@ from paywatch.operators.trailing import (
     trailing_lookup,
     trailing_windowed,
 )
-from paywatch.operators.usual import attach_usual, usual_lookup, usual_windowed
+from paywatch.operators.usual import attach_usual, usual_lookup, usual_of_uses, with_uses
 from paywatch.schema import DERIVED, RAW
 
 SENDER, RECEIVER, AMOUNT, TIME, ROW_ID = (
@@ -130,6 +130,11 @@ _STATELESS = (
 )
 
 
+def _parts(spark: SparkSession) -> int:
+    """Parts of a shuffle that AQE leaves as they are."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
 def build_features(
     df: DataFrame,
     only: Iterable[str] | None = None,
@@ -168,6 +173,12 @@ def build_features(
             busy = busy_instants(heavy_rows, SENDER, "_at", rule)
         # Windows on the sender alone come first: their shuffle then also serves
         # the windows on the sender and a second column.
+        if usual:
+            # One task holds its rows in a sort per order, so its share of them must not
+            # grow to what AQE would merge for rows that are sorted once.
+            ordinary = ordinary.repartition(_parts(df.sparkSession), SENDER)
+        for name, column in usual.items():
+            ordinary = with_uses(ordinary, SENDER, column, "_at", f"_uses_{name}")
         if specs:
             ordinary = trailing_windowed(ordinary, SENDER, "_at", AMOUNT, specs)
             lookup = trailing_lookup(heavy_rows, SENDER, "_at", AMOUNT, specs, rule=rule)
@@ -178,7 +189,7 @@ def build_features(
             lookup = F.broadcast(zscore_lookup(heavy_rows, SENDER, AMOUNT))
             heavy = attach_zscore(heavy, lookup, SENDER, AMOUNT, "amount_zscore")
         for name, column in usual.items():
-            ordinary = usual_windowed(ordinary, SENDER, column, "_at", name)
+            ordinary = usual_of_uses(ordinary, SENDER, column, "_at", f"_uses_{name}", name)
             lookup = usual_lookup(heavy_rows, SENDER, column, "_at")
             heavy = attach_usual(heavy, lookup, busy, SENDER, column, "_at", name)
         if pair:
