@@ -1,7 +1,9 @@
 import hashlib
+import threading
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from paywatch.contract import queries
 from paywatch.plans import training
@@ -154,6 +156,42 @@ def test_margins_of_missing_features_are_those_of_the_model(spark, trained):
     assert training.with_rounds(test.limit(0), trees, "rounds").collect() == []
 
 
+def test_last_margin_comes_without_the_rounds_before(inputs, trained):
+    _, trees, test = trained
+    both = training.with_margin(training.with_rounds(test, trees, "rounds"), trees, "last")
+    assert both.schema["last"].dataType == DoubleType()
+    assert both.where(F.col("last") != F.element_at("rounds", -1)).count() == 0 and both.where("last IS NULL").count() == 0
+    assert training.with_margin(test.limit(0), trees, "last").collect() == []
+
+
+def test_margins_are_combined_before_they_leave_the_worker(trained):
+    _, trees, test = trained
+    rows = test.limit(300).withColumn("is_fraud", F.when(F.col("txn_hour") % 5 > 0, F.col("is_fraud"))).localCheckpoint()
+    again = rows.unionByName(rows).coalesce(1)
+    rounds, counts = trees.stages[-1].getNumTrees, training._margin_counts(again, trees).collect()
+    # Both copies of a row fall on one step, so at most half the margins come out.
+    assert len(counts) <= 300 * rounds and len({(r.round, r.step) for r in counts}) == len(counts)
+    positives = again.where("is_fraud = 1").count()
+    for number in range(rounds):
+        own = [r for r in counts if r.round == number]
+        assert (sum(r.n for r in own), sum(r.pos for r in own)) == (600, positives)
+
+
+def test_both_models_are_fitted_side_by_side(spark, inputs, monkeypatch):
+    begun = threading.Event()
+
+    def trees(*args):
+        begun.set()
+        raise RuntimeError("no trees")
+
+    seen = []
+    monkeypatch.setattr(training, "train_trees", trees)
+    monkeypatch.setattr(training, "train_logistic", lambda train: seen.append(begun.wait(60)))
+    with pytest.raises(RuntimeError, match="no trees"):
+        training.train_and_compare(inputs, 5)
+    assert seen == [True]
+
+
 def test_many_rows_are_dealt_out_evenly(spark, monkeypatch):
     rows = spark.range(1000).withColumn("part", F.when(F.col("id") < 900, 0).otherwise(F.col("id"))).repartition(7, "part")
     assert training._evenly(rows) is rows
