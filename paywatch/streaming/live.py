@@ -8,7 +8,7 @@ every session time zone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paywatch.functions import micros, rate_pct
@@ -18,6 +18,16 @@ from paywatch.plans.operations import VELOCITY_THRESHOLD
 # Windows count from Thursday, 1970-01-01; weeks start four days later, on Monday.
 MONDAY = "4 days"
 
+#: The state store that need not hold all state in the heap, and its names.
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+SHORT_STORE = "rocksdb"
+COUNT_ROWS = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+
+
+def _use_rocksdb(spark: SparkSession) -> None:
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") not in (STORE, SHORT_STORE):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+
 
 def _timed(stream: DataFrame, delay: str) -> DataFrame:
     event_time = F.timestamp_micros(micros(F.col("timestamp")))
@@ -93,7 +103,14 @@ def velocity_alerts_stream(
     step: str = "5 minutes",
     delay: str = "10 minutes",
 ) -> DataFrame:
-    """Senders with more than `threshold` payments in a window of `width`."""
+    """Senders with more than `threshold` payments in a window of `width`.
+
+    The state has a row for each sender and window, width / step of them a payment, so the session's
+    state store is set to RocksDB, without its count of rows, which reads a row before each write."""
+    spark = transactions.sparkSession
+    _use_rocksdb(spark)
+    if spark.conf.get(COUNT_ROWS, None) is None:
+        spark.conf.set(COUNT_ROWS, "false")
     return (
         _timed(transactions, delay)
         .groupBy(F.window("_event_time", width, step), "sender_vpa")
