@@ -177,6 +177,37 @@ def test_margins_are_combined_before_they_leave_the_worker(trained):
         assert (sum(r.n for r in own), sum(r.pos for r in own)) == (600, positives)
 
 
+def test_margins_are_combined_over_batches_of_a_part(spark, trained, monkeypatch):
+    _, trees, test = trained
+    rows = test.limit(300).localCheckpoint()
+    again = rows.unionByName(rows).coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        counts = training._margin_counts(again, trees).collect()
+        monkeypatch.setattr(training, "ROWS_COUNTED", 250)
+        cut = training._margin_counts(again, trees).groupBy("round", "step").agg(F.sum("pos"), F.sum("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len({(r.round, r.step) for r in counts}) == len(counts)
+    assert sorted(map(tuple, counts)) == sorted(map(tuple, cut))
+
+
+def test_dealt_rows_are_kept_while_the_trees_are_fitted(spark, inputs, monkeypatch):
+    monkeypatch.setattr(training, "EVEN_FROM", 1000)
+    seen, trees = [], training._trees
+
+    class Spy:
+        def fit(self, rows):
+            seen.append(rows)
+            assert rows.storageLevel.useMemory and rows.storageLevel.useDisk
+            return trees(2).fit(rows)
+
+    monkeypatch.setattr(training, "_trees", lambda rounds: Spy())
+    fit, held = training.split_validation(training.split(inputs)[0])
+    assert 1 <= training.train_trees(fit, held, 2).stages[-1].getNumTrees <= 2
+    assert len(seen) == 1 and not seen[0].storageLevel.useMemory
+
+
 def test_both_models_are_fitted_side_by_side(spark, inputs, monkeypatch):
     begun = threading.Event()
 
