@@ -60,9 +60,9 @@ def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, folder, "documents"), path)
-    counts = token_files.count_tokens(token_files.scan(token_files.read_blocks(spark, path)))
-    part = F.regexp_extract("file", "part-([0-9]+)", 1).cast("int")
-    return counts.select(part.alias("part"), "position", "n_tokens", "terminated")
+    blocks = token_files.scan(token_files.read_blocks(spark, path))
+    counts = token_files.count_tokens(token_files.joined(blocks))
+    return counts.select(F.col("file").alias("part"), "position", "n_tokens", "terminated")
 
 
 def pseudo_likelihoods(spark: SparkSession, folder: str) -> DataFrame:

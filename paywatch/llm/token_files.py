@@ -7,7 +7,9 @@ and stitches documents that cross blocks by a prefix scan over the blocks' summa
 
 A null or empty text is a document of 0 tokens. Tokens after a file's last separator
 are an unterminated document; an empty file has none. Rows that repeat are counted
-each. One file must fit into memory (Spark reads it whole); blocks bound the rest.
+each. One file must fit into memory (Spark reads it whole); blocks bound the rest. So the
+writer begins another file every `FILE_BYTES`; the files of a partition are one run of
+tokens, and `joined` lets the prefix scan go on from one to the next.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 
 WIDTH = 2
 BLOCK_BYTES = 1 << 20
+#: Bytes of a written file, or one longer document.
+FILE_BYTES = 16 << 20
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 END_OF_DOCUMENT = 50_256
 # Fixed value: the pattern by which byte-level BPE of this kind cuts text into pieces.
@@ -36,23 +40,42 @@ def encoder(vocabulary: str):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end: int = END_OF_DOCUMENT, text_col: str = "text") -> None:
-    """Tokenise and write one flat file per partition.
+def write_token_files(
+    docs: DataFrame,
+    path: str,
+    vocabulary: str = VOCABULARY,
+    end: int = END_OF_DOCUMENT,
+    text_col: str = "text",
+    file_bytes: int = FILE_BYTES,
+) -> None:
+    """Tokenise and write flat files, at least one per partition, of `file_bytes` or one longer document.
 
     The text sink writes rows as they are and the separator after each, here the bytes
-    of the end-of-document identifier; so Spark commits the files like any table.
+    of the end-of-document identifier; so Spark commits the files like any table. A row
+    holds the documents of a file, with that identifier between them.
     """
+    mark = end.to_bytes(WIDTH, "little")
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = None
+        def row(parts: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([mark.join(parts)], pa.binary())], names=["value"])
+
+        encode, waiting, held = None, [], 0
         for batch in batches:
             encode = encode or encoder(vocabulary).encode_ordinary
-            rows = [np.array(encode(x or ""), "<u2").tobytes() for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
+            for text in batch.column(0):
+                tokens = np.array(encode(text.as_py() or ""), "<u2").tobytes()
+                if waiting and held + len(tokens) + WIDTH > file_bytes:
+                    yield row(waiting)
+                    waiting, held = [], 0
+                waiting.append(tokens)
+                held += len(tokens) + WIDTH
+        if waiting:
+            yield row(waiting)
 
-    separator = end.to_bytes(WIDTH, "little").decode("iso-8859-1")
     rows = docs.select(text_col).mapInArrow(tokenise, "value binary").select(F.col("value").cast("string"))
-    rows.write.option("lineSep", separator).option("encoding", "ISO-8859-1").text(path)
+    writer = rows.write.option("lineSep", mark.decode("iso-8859-1")).option("encoding", "ISO-8859-1")
+    writer.option("maxRecordsPerFile", 1).text(path)
 
 
 def read_blocks(spark: SparkSession, path: str, block: int = BLOCK_BYTES) -> DataFrame:
@@ -90,8 +113,16 @@ def scan(blocks: DataFrame, end: int = END_OF_DOCUMENT) -> DataFrame:
     return blocks.mapInArrow(run, "file string, block int, head long, tail long, inner array<long>, ends long")
 
 
+def joined(summaries: DataFrame) -> DataFrame:
+    """Summaries with a partition's number for the file, and a block's place in all its files."""
+    name = F.regexp_extract("file", "[^/]*$", 0)
+    nth = F.regexp_extract(name, "-c([0-9]+)[^-]*$", 1).cast("int")
+    part = F.regexp_extract(name, "part-([0-9]+)", 1).cast("int")
+    return summaries.withColumns({"file": part, "block": F.struct(nth.alias("nth"), F.col("block").alias("block"))})
+
+
 def count_tokens(summaries: DataFrame) -> DataFrame:
-    """(file, position, n_tokens, terminated) of every document, stitched across blocks."""
+    """(file, position, n_tokens, terminated) of every document, stitched across a file's blocks in their order."""
     order = Window.partitionBy("file").orderBy("block")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     # What is open before a block: all tails since the last block with a separator.

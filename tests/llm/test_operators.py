@@ -162,6 +162,19 @@ def test_token_counts_over_block_edges(docs, empty, spark, tmp_path):
     assert token_files.count_tokens(token_files.scan(token_files.read_blocks(spark, path + "-empty"))).count() == 0
 
 
+def test_token_files_are_bounded_and_counted_as_one(docs, spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    token_files.write_token_files(docs.coalesce(1), path, file_bytes=300)
+    encode = token_files.encoder(token_files.VOCABULARY).encode_ordinary
+    want = [len(encode(r.text or "")) for r in docs.coalesce(1).collect()]
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "tokens").glob("part-*"))
+    longest = [2 * n + 2 for n in want if 2 * n + 2 > 300]
+    assert len(sizes) > len(longest) > 1 and sizes[-len(longest):] == sorted(longest) and sizes[-len(longest) - 1] <= 300
+    for block in (14, 1 << 20):
+        found = token_files.count_tokens(token_files.joined(token_files.scan(token_files.read_blocks(spark, path, block))))
+        assert [tuple(r) for r in found.orderBy("position").collect()] == [(0, i, n, True) for i, n in enumerate(want)]
+
+
 def test_pseudo_likelihood_gradient_and_odd_rows(docs, empty):
     p = {k: v.astype(np.float64) for k, v in masked_lm.first_parameters().items()}
     near, target = np.array([[1, 2, 3, 4096], [5, 5, 7, 9]]), np.array([77, 4000])
