@@ -1,7 +1,8 @@
 """Streaming counterparts of the monitoring queries.
 
 Every one is a windowed or keyed aggregate: rows combine before the shuffle and
-the state is one row per group, so a dominant sender is no larger than any other.
+the state is one row per group, so a dominant sender is no larger than any other;
+for the velocity alerts `windows` sees to it.
 Rows later than the watermark are dropped. Event time is read as UTC in
 every session time zone.
 """
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from paywatch.functions import micros, rate_pct
 from paywatch.plans.kpis import flagged_amount, flagged_pct
 from paywatch.plans.operations import VELOCITY_THRESHOLD
+from paywatch.streaming.windows import busy_windows
 
 # Windows count from Thursday, 1970-01-01; weeks start four days later, on Monday.
 MONDAY = "4 days"
@@ -93,18 +95,15 @@ def velocity_alerts_stream(
     step: str = "5 minutes",
     delay: str = "10 minutes",
 ) -> DataFrame:
-    """Senders with more than `threshold` payments in a window of `width`."""
-    return (
-        _timed(transactions, delay)
-        .groupBy(F.window("_event_time", width, step), "sender_vpa")
-        .agg(F.count("*").alias("txns"))
-        .where(F.col("txns") > threshold)
-        .select(
-            _ntz("window.start").alias("window_start"),
-            _ntz("window.end").alias("window_end"),
-            "sender_vpa",
-            "txns",
-        )
+    """Senders with more than `threshold` payments in a window of `width`.
+
+    The session's state store is set to RocksDB, the one that keeps keyed state with timers."""
+    busy = busy_windows(transactions, threshold, width, step, delay)
+    return busy.select(
+        _ntz(F.timestamp_micros("start")).alias("window_start"),
+        _ntz(F.timestamp_micros("end")).alias("window_end"),
+        "sender_vpa",
+        "txns",
     )
 
 

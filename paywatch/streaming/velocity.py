@@ -29,12 +29,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from paywatch.functions import micros
 from paywatch.plans.operations import VELOCITY_THRESHOLD
 from paywatch.streaming.live import _ntz, _timed
+from paywatch.streaming.windows import use_rocksdb
 
 HOUR = 3_600_000_000
 MINUTE = 60_000_000
-#: Keyed state with timers needs this store.
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-SHORT_STORE = "rocksdb"
 
 
 class TrailingCounts(StatefulProcessor):
@@ -112,9 +110,7 @@ def payment_velocity_stream(
     the one that keeps keyed state with timers."""
     if bucket <= 0 or width <= 0 or delay < 0:
         raise ValueError(f"Width and bucket must be positive, the delay not negative: {width}, {bucket}, {delay}")
-    conf = transactions.sparkSession.conf
-    if conf.get("spark.sql.streaming.stateStore.providerClass", "") not in (STORE, SHORT_STORE):
-        conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    use_rocksdb(transactions.sparkSession)
     timed = _timed(transactions, f"{-(-delay // 1000)} milliseconds").select("sender_vpa", "txn_id", micros(F.col("timestamp")).alias("at"), "_event_time")
     counted = timed.groupBy("sender_vpa").transformWithStateInPandas(
         TrailingCounts(width, bucket, delay), "sender_vpa string, txn_id string, at long, velocity int", "append", "EventTime"

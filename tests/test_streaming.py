@@ -5,6 +5,7 @@ import pytest
 from conftest import column
 from pyspark.sql import functions as F
 
+from paywatch.functions import micros
 from paywatch.plans import kpis
 from paywatch.plans.features import add_new_receiver, build_features
 from paywatch.schema import RAW
@@ -90,6 +91,38 @@ def test_velocity_alert_needs_more_than_the_threshold(arriving):
     assert column(out, "txns", "window_start") == [11] * 12
 
 
+def grouped_alerts(stream, threshold, width, step, delay):
+    """Plain version: a grouped count, with a state row for each sender and window."""
+    timed = stream.withColumn("t", F.timestamp_micros(micros(F.col("timestamp")))).withWatermark("t", delay)
+    counts = timed.groupBy(F.window("t", width, step), "sender_vpa").agg(F.count("*").alias("txns"))
+    return counts.where(F.col("txns") > threshold).select("sender_vpa", F.unix_micros("window.start").alias("start"), "txns")
+
+
+@pytest.mark.parametrize("width, step, threshold", [("1 hour", "5 minutes", 1), ("7 minutes", "3 minutes", 0)])
+def test_velocity_alerts_of_late_payments(arriving, width, step, threshold):
+    """Batches whose payments come late by more and less than the delay, some at a window's very end."""
+    at = lambda m, s=0, us=0: datetime(2024, 1, 1, 12) + timedelta(minutes=m, seconds=s, microseconds=us)
+    batches = [[(f"s{i % 3}", at(i * 7 % 40, i)) for i in range(30)] + [(None, at(3)), (None, at(4)), ("s0", None)]]
+    batches.append([("s0", at(100)), ("s1", at(20)), ("s1", at(21)), ("old", at(30)), ("old", at(30, 1))])
+    batches.append([("s2", at(m, 59, 999_999)) for m in (1, 24, 29, 30, 34, 35, 44, 45, 89, 90)] + [("old", at(44)), ("s1", at(76))])
+    batches.append([("s0", at(170)), ("s2", at(99)), ("s2", at(99)), (None, at(95)), (None, at(96)), ("old", at(60))])
+    batches += [[("s1", at(m)), ("s1", at(m, 0, 1)), ("old", at(m + 4))] for m in (90, 105, 110, 160)] + [[("end", at(400))]]
+    stream = arriving(*[[{"sender_vpa": s, "timestamp": t} for s, t in batch] for batch in batches])
+    want = append_to_table(grouped_alerts(stream, threshold, width, step, "10 minutes"), "plain")
+    found = append_to_table(velocity_alerts_stream(stream, threshold, width, step), "alerts")
+    found = found.select("sender_vpa", F.unix_micros(F.col("window_start").cast("timestamp")).alias("start"), "txns")
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(found) == rows(want) and len(rows(want)) > 20
+
+
+def test_velocity_alerts_keep_one_state_row_for_many_windows(arriving, tmp_path):
+    many = [{"sender_vpa": f"s{i}", "timestamp": datetime(2024, 1, 1, 12) + timedelta(minutes=i)} for i in range(300)]
+    query = velocity_alerts_stream(arriving(many)).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "p")).trigger(availableNow=True).start(str(tmp_path / "o"))
+    query.awaitTermination()
+    # State rows and timers of 300 payments in 3,600 windows.
+    assert max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]) <= 3 * 300
+
+
 def test_first_payments_equal_the_batch_feature(arriving, payments):
     rows = [
         {"sender_vpa": s, "receiver_vpa": r, "timestamp": datetime(2024, 1, d)}
